@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from .steps import Steps
 from .text import strip
 
-DAY_FIRST = r"^([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]([0-9]{4})"
-YEAR_FIRST = r"^([0-9]{4})/([0-9]{1,2})/([0-9]{1,2})"
+DAY_FIRST = r"^([0-9]{1,2})[.-]([0-9]{1,2})[.-]([0-9]{4})"
 
 
 def parsed_timestamp(dtype: str = "string") -> Steps:
@@ -18,12 +17,15 @@ def parsed_timestamp(dtype: str = "string") -> Steps:
         return ()
     if dtype in ("timestamp", "date"):
         return (lambda c: c.cast("timestamp_ntz"),)
-    return (_iso_text, lambda c: F.when(c.rlike("^[0-9]{4}-"), c).try_cast("timestamp_ntz"))
+    return (
+        lambda c: F.replace(strip(c.cast("string")), F.lit("/"), F.lit("-")),
+        lambda c: F.when(_year_first(c), c).otherwise(F.regexp_replace(c, DAY_FIRST, "$3-$2-$1")),
+        lambda c: F.when(_year_first(c), c).try_cast("timestamp_ntz"),
+    )
 
 
-def _iso_text(c: Column) -> Column:
-    text = F.regexp_replace(strip(c.cast("string")), DAY_FIRST, "$3-$2-$1")
-    return F.regexp_replace(text, YEAR_FIRST, "$1-$2-$3")
+def _year_first(c: Column) -> Column:
+    return F.substring(c, 5, 1) == "-"
 
 
 def elapsed_seconds(start: Column, end: Column) -> Column:

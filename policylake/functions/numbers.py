@@ -15,7 +15,7 @@ TRUE_WORDS = ("1", "true", "vrai", "yes", "oui", "y", "t")
 FALSE_WORDS = ("0", "false", "faux", "no", "non", "n", "f")
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
-PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NOT_IN_NUMBERS = "[a-df-zA-DF-Z]"
 FIRST_NUMBER = r"[-+]?\d*\.?\d+"
 
 
@@ -42,8 +42,9 @@ def _dotted(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit(" "), F.lit("")), F.lit(","), F.lit("."))
 
 
-def _plain(c: Column) -> Column:
-    return F.when(c.rlike(PLAIN_NUMBER), c).try_cast("double")
+def plain_number(c: Column) -> Column:
+    """The double a text spells, else null. Casting alone would also take ``1d`` and ``Infinity``."""
+    return F.when(~c.rlike(NOT_IN_NUMBERS), c).try_cast("double")
 
 
 def strict_number(dtype: str = "string") -> Steps:
@@ -53,7 +54,7 @@ def strict_number(dtype: str = "string") -> Steps:
     """
     if is_numeric(dtype) or dtype == "boolean":
         return (lambda c: c.cast("double"),)
-    return (lambda c: strip(_dotted(c.cast("string"))), _plain)
+    return (lambda c: _dotted(c.cast("string")), plain_number)
 
 
 def _number_in(c: Column) -> Column:
@@ -77,7 +78,7 @@ def whole_count(dtype: str = "string", allow_negative: bool = False) -> Steps:
 
 
 def _worded_flag(c: Column) -> Column:
-    number = _plain(c)
+    number = plain_number(c)
     return (
         F.when(c.isin(*TRUE_WORDS), True)
         .when(c.isin(*FALSE_WORDS), False)

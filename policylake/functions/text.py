@@ -52,8 +52,13 @@ NULL_WORDS = ("nan", "None", "")
 
 
 def strip(c: Column) -> Column:
-    """Drop white space at both ends, tabs and no-break spaces included."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    """Drop white space at both ends, tabs and no-break spaces included.
+
+    Most values start and end with a visible ASCII character and pass untouched, which
+    costs a fraction of the trim against the whole set.
+    """
+    visible = F.substring(c, 1, 1).between("!", "~") & F.substring(c, -1, 1).between("!", "~")
+    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def stripped(dtype: str = "string") -> Step:
@@ -113,7 +118,7 @@ def name_text(dtype: str = "string") -> Steps:
 
 def collapsed_text(dtype: str = "string") -> Steps:
     """One blank for each run of white space, none at the ends; null words become null."""
-    return (lambda c: strip(F.regexp_replace(c.cast("string"), r"\s+", " ")), without(*NULL_WORDS))
+    return (lambda c: F.regexp_replace(c.cast("string"), r"\s+", " "), strip, without(*NULL_WORDS))
 
 
 def plate(dtype: str = "string") -> Steps:

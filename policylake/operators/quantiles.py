@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizes import is_small
+from .sizes import is_small, literal_rows
 
 Wanted = Mapping[str, tuple[Column, Sequence[float]]]
 
@@ -71,13 +71,13 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
     first = _histogram(rows.withColumn("bin", _magnitude(F.col("value"))), ["series"])
     first = first.withColumn("total", F.sum("n").over(Window.partitionBy("series")))
     asked = [(i, float(p)) for i, n in enumerate(names) for p in wanted[n][1]]
-    ranks = spark.createDataFrame(sorted(set(asked)), "series int, p double")
+    ranks = literal_rows(spark, sorted(set(asked)), ("series", "p"))
     place = F.col("p") * (F.col("total") - 1)
     ranked = (
         first.join(F.broadcast(ranks), "series")
         .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
         .filter("before <= rank and rank < before + n")
-        .select("series", "rank", (F.col("rank") - F.col("before")).alias("inside"), "lo", "hi", "total")
+        .select("series", "rank", (F.col("rank") - F.col("before")).alias("inside"), "n", "lo", "hi", "total")
         .distinct()
         .collect()
     )
@@ -87,8 +87,10 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
     def sort_out(hits) -> None:
         open_bins.clear()
         for h in hits:
-            if h["lo"] == h["hi"]:
+            if h["inside"] == 0 or h["lo"] == h["hi"]:
                 found[(h["series"], h["rank"])] = h["lo"]
+            elif h["inside"] == h["n"] - 1:
+                found[(h["series"], h["rank"])] = h["hi"]
             else:
                 open_bins.append((h["series"], h["rank"], h["inside"], h["lo"], h["hi"]))
 
@@ -96,7 +98,7 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
         totals[h["series"]] = h["total"]
     sort_out(ranked)
     while open_bins:
-        bins = spark.createDataFrame(open_bins, "series int, rank bigint, inside bigint, from double, to double")
+        bins = literal_rows(spark, open_bins, ("series", "rank", "inside", "from", "to"))
         share = (F.col("value") - F.col("from")) / (F.col("to") - F.col("from"))
         inner = (
             rows.join(F.broadcast(bins), "series")
@@ -106,7 +108,7 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
         hits = (
             _histogram(inner, ["series", "rank", "inside"])
             .filter("before <= inside and inside < before + n")
-            .select("series", "rank", (F.col("inside") - F.col("before")).alias("inside"), "lo", "hi")
+            .select("series", "rank", (F.col("inside") - F.col("before")).alias("inside"), "n", "lo", "hi")
             .collect()
         )
         sort_out(hits)

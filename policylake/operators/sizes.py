@@ -1,8 +1,11 @@
-"""Size estimates from table metadata; no job is started."""
+"""Size estimates from table metadata, and tables of a few literal rows; no job is started."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def source_bytes(df: DataFrame) -> int | None:
@@ -21,3 +24,9 @@ def source_bytes(df: DataFrame) -> int | None:
 def is_small(df: DataFrame, limit: int) -> bool:
     size = source_bytes(df)
     return size is not None and size <= limit
+
+
+def literal_rows(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
+    """A handful of rows as literals of the plan, without a Python worker to feed them."""
+    structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))

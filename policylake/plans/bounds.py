@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import clip
 from ..operators.quantiles import quantiles
+from ..session import stage
 
 Bounds = dict[str, list]
 
@@ -20,6 +21,12 @@ Bounds = dict[str, list]
 CLIP_QUANTILES = (0.01, 0.99)
 
 
+def narrowed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """The listed columns that exist, staged: parsed once, then read by every pass."""
+    present = [c for c in columns if c in df.columns]
+    return stage(df.select(*present), "limits") if present else df.select()
+
+
 def clip_bounds(df: DataFrame, columns: Iterable[str], method: str = "auto") -> Bounds:
     """Clip ends of the listed columns that exist, all in the same passes."""
     return quantiles(df, {c: (F.col(c), CLIP_QUANTILES) for c in columns if c in df.columns}, method)

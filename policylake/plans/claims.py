@@ -12,7 +12,7 @@ from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
 from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, normalize_headers, require_column, with_optional
-from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns
+from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns, narrowed
 
 KEYS = ("claim_id", "contract_id", "client_id", "vehicle_id")
 OPENED, CLOSED = "date_sinistre_claim", "date_cloture_claim"
@@ -77,6 +77,7 @@ def _with_features(parsed: DataFrame, bounds: Bounds) -> DataFrame:
 
 
 def claim_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+    parsed = narrowed(parsed, AMOUNTS)
     bounds = clip_bounds(parsed, AMOUNTS, method)
     df = _with_features(parsed, bounds)
     second = {}

@@ -12,7 +12,7 @@ from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
 from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, keep_columns, normalize_headers, require_column
-from .bounds import Bounds, clip_bounds, clip_columns, clipped
+from .bounds import Bounds, clip_bounds, clip_columns, clipped, narrowed
 
 # Columns of the table, by how they are read.
 NAMES = ("nom", "prenom", "gouvernorat", "ville", "niveau_professionnel")
@@ -66,6 +66,7 @@ def parse_clients(raw: DataFrame) -> DataFrame:
 
 
 def client_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+    parsed = narrowed(parsed, CLIPPED)
     bounds = clip_bounds(parsed, CLIPPED, method)
     if "revenu_annuel" in parsed.columns:
         income = {"income_band": (clipped(bounds, "revenu_annuel"), bands.QUINTILES)}

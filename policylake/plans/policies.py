@@ -11,7 +11,7 @@ from ..functions import bands, dates, numbers, text
 from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
 from ..operators.schema import column_types, normalize_headers, require_column, with_optional
-from .bounds import Bounds, clip_bounds, clip_columns
+from .bounds import Bounds, clip_bounds, clip_columns, narrowed
 
 DATES = ("date_debut_contrat", "date_fin_contrat")
 CLIPPED = ("prime_assurance_annuelle", "delai_souscription_sinistre_jours")
@@ -37,6 +37,7 @@ def parse_policies(raw: DataFrame) -> DataFrame:
 
 
 def policy_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+    parsed = narrowed(parsed, CLIPPED)
     return clip_bounds(parsed, CLIPPED, method)
 
 

@@ -13,7 +13,7 @@ from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
 from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, normalize_headers, require_column
-from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns
+from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns, narrowed
 
 # Plausible ranges.
 FIRST_YEAR = 1970
@@ -57,6 +57,7 @@ def _with_km_per_year(parsed: DataFrame, bounds: Bounds) -> DataFrame:
 
 
 def vehicle_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+    parsed = narrowed(parsed, [*RANGES, "vehicle_age"])
     bounds = clip_bounds(parsed, RANGES, method)
     second = {"mileage_per_year": (F.col("mileage_per_year"), CLIP_QUANTILES)}
     if "valeur_vehicule" in parsed.columns:

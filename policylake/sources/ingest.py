@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parsed_timestamp
-from ..functions.numbers import FALSE_WORDS, PLAIN_NUMBER, TRUE_WORDS, finite
+from ..functions.numbers import FALSE_WORDS, NOT_IN_NUMBERS, TRUE_WORDS, finite
 from ..functions.steps import chain
 from ..functions.text import strip
 from .tables import existing_table, write_table
@@ -60,7 +60,7 @@ def cast_text(c: Column, target: T.DataType) -> Column:
     if isinstance(target, T.BooleanType):
         word = F.lower(text)
         return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
-    number = F.when(text.rlike(PLAIN_NUMBER), text)
+    number = F.when(~text.rlike(NOT_IN_NUMBERS), text)
     if isinstance(target, T.IntegralType):
         exact = F.when(text.rlike(r"^[+-]?[0-9]+$"), text).try_cast(target)
         whole = finite(number.try_cast("double"))
