@@ -23,7 +23,7 @@ def hot_keys(df: DataFrame, key: str) -> DataFrame:
     decides which keys get salted, so its error never touches the result.
     """
     found = df.filter(F.col(key).isNotNull()).agg(
-        F.count(F.lit(1)).alias("rows"), F.approx_top_k(key, HOT_KEYS, 10 * HOT_KEYS).alias("top")
+        F.count(F.lit(1)).alias("rows"), F.call_function("approx_top_k", F.col(key), F.lit(HOT_KEYS), F.lit(10 * HOT_KEYS)).alias("top")
     )
     return (
         found.select("rows", F.explode("top").alias("t"))

@@ -12,11 +12,12 @@ from pyspark.sql import types as T
 
 from ..functions.dates import parsed_timestamp
 from ..functions.numbers import FALSE_WORDS, NOT_IN_NUMBERS, TRUE_WORDS, finite
-from ..functions.steps import chain
-from ..functions.text import strip
+from ..functions.steps import Steps, apply_steps
+from ..functions.text import strip, without
 from .tables import existing_table, write_table
 
 CORRUPT = "_corrupt_record"
+TYPED = "__typed_"
 
 # CSV fields that mean "missing".
 CSV_MISSING = (
@@ -49,25 +50,35 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame | None:
     return reader.schema(csv_schema(header)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
-def cast_text(c: Column, target: T.DataType) -> Column:
+def casting(target: T.DataType) -> Steps:
     """A text value as the target type, null where it does not fit."""
-    c = F.when(~c.isin(*CSV_MISSING), c)
-    text = strip(c)
     if isinstance(target, T.StringType):
-        return c
+        return (without(*CSV_MISSING),)
     if isinstance(target, (T.TimestampNTZType, T.TimestampType, T.DateType)):
-        return chain(*parsed_timestamp())(c).cast(target)
+        return (*parsed_timestamp(), lambda c: c.cast(target))
     if isinstance(target, T.BooleanType):
-        word = F.lower(text)
-        return F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
-    number = F.when(~text.rlike(NOT_IN_NUMBERS), text)
+        words = TRUE_WORDS + FALSE_WORDS
+        return (lambda c: F.lower(strip(c)), lambda c: F.when(c.isin(*words), c.isin(*TRUE_WORDS)))
+    plain = (strip, lambda c: F.when(~c.rlike(NOT_IN_NUMBERS), c))
     if isinstance(target, T.IntegralType):
-        exact = F.when(text.rlike(r"^[+-]?[0-9]+$"), text).try_cast(target)
-        whole = finite(number.try_cast("double"))
-        return F.coalesce(exact, F.when(whole == F.floor(whole), whole).try_cast(target))
+        return (*plain, lambda c: F.coalesce(c.try_cast(target), _whole(c.try_cast("double")).try_cast(target)))
     if isinstance(target, (T.DoubleType, T.FloatType)):
-        return finite(number.try_cast(target))
-    return number.try_cast(target)
+        return (*plain, lambda c: c.try_cast(target), finite)
+    return (*plain, lambda c: c.try_cast(target))
+
+
+def _whole(c: Column) -> Column:
+    return F.when(c == F.floor(c), c)
+
+
+def _typed(new: DataFrame, target: T.StructType, prefix: str, *keep: str) -> DataFrame:
+    """``new`` with one cast column per target field; absent ones are null."""
+    columns = [
+        (F.col(f"`{f.name}`").cast("string") if f.name in new.columns else F.lit(None).cast("string")).alias(prefix + f.name)
+        for f in target.fields
+    ]
+    df = new.select(*[F.col(f"`{c}`") for c in keep], *columns)
+    return apply_steps(df, {prefix + f.name: casting(f.dataType) for f in target.fields})
 
 
 def conform(new: DataFrame, target: T.StructType) -> DataFrame:
@@ -75,32 +86,35 @@ def conform(new: DataFrame, target: T.StructType) -> DataFrame:
 
     Only the target's schema is used, its rows are not read. Values that do not fit are null.
     """
-    return new.select(
-        *[
-            (cast_text(F.col(f"`{f.name}`").cast("string"), f.dataType) if f.name in new.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in target.fields
-        ]
-    )
+    return _typed(new, target, "")
+
 
+def checked(new: DataFrame, target: T.StructType, key: str | None = None, strict: bool = True) -> DataFrame:
+    """The text columns, their cast twins, and ``reason``: what keeps a row out, or blank.
 
-def misfits(new: DataFrame, target: T.StructType) -> Column:
-    """Names of the columns whose filled value does not fit the target type, plus the corrupt mark."""
+    A corrupt line or a missing key always does; with ``strict`` so does every filled value
+    that does not fit its type, otherwise such a value is null.
+    """
+    df = _typed(new, target, TYPED, *new.columns)
     checks = []
-    for f in target.fields:
-        if f.name in new.columns and not isinstance(f.dataType, T.StringType):
-            text = F.col(f"`{f.name}`").cast("string")
-            failed = ~strip(text).isin(*CSV_MISSING) & cast_text(text, f.dataType).isNull()
-            checks.append(F.when(failed, F.lit(f.name)))
+    if strict:
+        for f in target.fields:
+            if f.name in new.columns and not isinstance(f.dataType, T.StringType):
+                filled = ~strip(F.col(f"`{f.name}`")).isin(*CSV_MISSING)
+                checks.append(F.when(filled & F.col(TYPED + f.name).isNull(), F.lit(f.name)))
     if CORRUPT in new.columns:
-        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit(CORRUPT)))
-    return F.concat_ws(",", *checks) if checks else F.lit("")
+        checks.append(F.when(F.col(CORRUPT).isNotNull(), F.lit("corrupt line")))
+    if key:
+        checks.append(F.when(F.col(TYPED + key).isNull(), F.lit("null key")))
+    return df.withColumn("reason", F.concat_ws(",", *checks) if checks else F.lit(""))
+
 
+def accepted(rows: DataFrame, target: T.StructType) -> DataFrame:
+    return rows.filter("reason = ''").select(*[F.col(TYPED + f.name).alias(f.name) for f in target.fields])
 
-def split_misfits(new: DataFrame, target: T.StructType) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit, in target shape; rows that do not, as text with a ``reason``)."""
-    marked = new.withColumn("reason", misfits(new, target))
-    good = conform(marked.filter("reason = ''"), target)
-    return good, marked.filter("reason <> ''")
+
+def set_aside(rows: DataFrame) -> DataFrame:
+    return rows.filter("reason <> ''").select(*[c for c in rows.columns if not c.startswith(TYPED)])
 
 
 def append_csv(
@@ -124,27 +138,23 @@ def append_csv(
     new = read_csv(spark, path)
     if new is None:
         return _counts(spark, table, 0, 0, 0)
-    bad = misfits(new, target.schema) if quarantine else F.when(F.col(CORRUPT).isNotNull(), CORRUPT).otherwise("")
-    if key:
-        filled = cast_text(F.col(f"`{key}`"), target.schema[key].dataType) if key in new.columns else F.lit(None)
-        bad = F.when(filled.isNull(), F.concat_ws(",", F.nullif(bad, F.lit("")), F.lit("null key"))).otherwise(bad)
-    marked = new.withColumn("reason", bad)
-    summary = marked.agg(
-        F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason") != "").alias("set_aside")
+    rows = checked(new, target.schema, key, strict=quarantine is not None)
+    summary = rows.agg(
+        F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason") != "").alias("set_aside"),
+        F.count(f"`{new.columns[0]}`").alias("filled"),  # Spark refuses to read the corrupt mark alone
     ).first()
     appended = summary["read"] - summary["set_aside"]
     if not dry_run:
         if quarantine and summary["set_aside"]:
-            write_table(marked.filter("reason <> ''"), root, quarantine, "append")
+            write_table(set_aside(rows), root, quarantine, "append")
         if appended:
-            write_table(conform(marked.filter("reason = ''"), target.schema), root, table, "append")
+            write_table(accepted(rows, target.schema), root, table, "append")
     return _counts(spark, table, summary["read"], appended, summary["set_aside"])
 
 
 def _counts(spark: SparkSession, table: str, read: int, appended: int, set_aside: int) -> DataFrame:
-    return spark.createDataFrame(
-        [(table, read, appended, set_aside)], "table_name string, read bigint, appended bigint, set_aside bigint"
-    )
+    counts = [F.lit(n).cast("bigint").alias(c) for c, n in (("read", read), ("appended", appended), ("set_aside", set_aside))]
+    return spark.range(0, 1, 1, 1).select(F.lit(table).alias("table_name"), *counts)
 
 
 def ingest_summary(parts: Sequence[DataFrame]) -> DataFrame:
