@@ -464,7 +464,7 @@ def fact_join_vehicle(spark, folder):
 
 @query
 def ml_wide_join(spark, folder):
-    wide = build.wide_claims({f"clean_{n}": _clean(spark, folder, n) for n in build.RAW_NAMES})
+    wide = build.wide_claims(_staged_clean(spark, folder))
     return wide.select(
         "claim_id", F.col("policy__type_couverture").alias("type_couverture"), F.col("vehicle__marque").alias("marque"),
         F.when(F.col("client_id").isNotNull(), F.col("client__genre")).alias("genre"),
@@ -688,9 +688,13 @@ def dim_time(spark, folder):
     return warehouse.dim_time(_clean(spark, folder, "policies"), _clean(spark, folder, "claims"))
 
 
-def _wide(spark, folder) -> DataFrame:
+def _staged_clean(spark, folder) -> dict[str, DataFrame]:
     clean = build.clean_tables(raw_tables(spark, folder), as_of=AS_OF, order_by=ORDER)
-    return stage(build.wide_claims(clean), "claim_wide")
+    return {n: stage(df, n) for n, df in clean.items()}
+
+
+def _wide(spark, folder) -> DataFrame:
+    return stage(build.wide_claims(_staged_clean(spark, folder)), "claim_wide")
 
 
 @query
@@ -717,8 +721,7 @@ def stratified_split(spark, folder):
 
 
 def _staged_learning(spark, folder) -> tuple[DataFrame, DataFrame]:
-    clean = build.clean_tables(raw_tables(spark, folder), as_of=AS_OF, order_by=ORDER)
-    clean["clean_claims"] = stage(clean["clean_claims"], "clean_claims")
+    clean = _staged_clean(spark, folder)
     wide = stage(build.wide_claims(clean), "claim_wide")
     return warehouse.ml_claim(wide), clean["clean_claims"]
 
