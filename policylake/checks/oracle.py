@@ -305,8 +305,8 @@ CTES["conformed"] = (
     f"case when o_orderpriority in ({_na}) then null else o_orderpriority end as o_orderpriority from arriving"
 )
 CTES["metrics"] = (
-    "select count_if(risk_level = 'High') as high_risk_count, count_if(risk_level = 'Medium') as medium_risk_count, "
-    "count_if(risk_level = 'Low') as low_risk_count, count(*) as total_active_claims, sum(delay_probability) as estimated_delayed_claims, "
+    "select cast(count_if(risk_level = 'High') as bigint) as high_risk_count, cast(count_if(risk_level = 'Medium') as bigint) as medium_risk_count, "
+    "cast(count_if(risk_level = 'Low') as bigint) as low_risk_count, count(*) as total_active_claims, sum(delay_probability) as estimated_delayed_claims, "
     "cast(sum(predicted_delay_days) as bigint) as estimated_total_delay_days, avg(predicted_delay_days) as avg_predicted_delay_days, "
     "sum(montant_indemnisation_claim) filter (delay_probability > 0.5) as estimated_cost_impact, "
     "avg(montant_indemnisation_claim) filter (delay_probability > 0.5) as avg_cost_per_delayed_claim, "
@@ -472,7 +472,7 @@ SQL: dict[str, str] = {
     "fact_join_vehicle": "select l.vehicle_id, claim_id, quantite, marque, modele from ids_claims l left join one_vehicle v on l.vehicle_id = v.vehicle_id",
     "ml_wide_join": "select claim_id, type_couverture, marque, genre, income_band from clean_claims c left join clean_policies p on c.contract_id = p.contract_id "
                     "left join clean_clients k on c.client_id = k.client_id left join clean_vehicles v on c.vehicle_id = v.vehicle_id",
-    "lookup_join_rowcount": "select count(*) as rows, count_if(o_custkey in (select l_orderkey from lineitem)) as matched from orders",
+    "lookup_join_rowcount": "select count(*) as rows, cast(count_if(o_custkey in (select l_orderkey from lineitem)) as bigint) as matched from orders",
     "quantiles": " union all ".join(f"select '{c}' as column_name, {p}::double as probability, quantile_cont({c}, {p}) as value from lineitem"
                                     for c in ("l_extendedprice", "l_quantity", "l_tax") for p in _PS),
     "clip_outliers": f"with v as (select l_orderkey, l_linenumber, l_extendedprice, nullif(l_tax, 0) as l_tax from lineitem), "

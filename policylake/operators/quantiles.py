@@ -1,7 +1,7 @@
 """Exact quantiles with linear interpolation, for one task's memory or for any size.
 
-``percentile`` keeps every distinct value in the memory of one task. Above a size limit
-the value range is narrowed instead: each pass counts rows per bin with map-side partial
+Sorting the values, like ``percentile``, needs them all in one task. Above a small size
+limit the value range is narrowed instead: each pass counts rows per bin with map-side partial
 sums, then goes on inside the bins that hold the wanted ranks. A pass keeps at most a few
 thousand counters per wanted rank whatever the data looks like, moves no rows, and the
 result is exact. Bins start as powers of 2**(1/64), so at most five passes exhaust a double.
@@ -26,22 +26,31 @@ SPLITS = 4096
 def quantiles(df: DataFrame, wanted: Wanted, method: str = "auto") -> dict[str, list[float | None]]:
     """Quantiles of several columns at once; nulls are ignored, no values give None.
 
-    ``wanted`` maps a name to (column, probabilities). ``method`` is ``auto``, ``percentile``
-    (one aggregate) or ``narrowing`` (any size). The result is a handful of numbers.
+    ``wanted`` maps a name to (column, probabilities). ``method`` is ``auto``, ``sorting``
+    (values of a source of known small size, in one task) or ``narrowing`` (any size). The result is a handful of numbers.
     """
     if not wanted:
         return {}
     narrow = df.select(*[c.cast("double").alias(name) for name, (c, _) in wanted.items()])
-    if method == "percentile" or (method == "auto" and is_small(df, IN_MEMORY_BYTES)):
-        return _by_percentile(narrow, wanted)
+    if method == "sorting" or (method == "auto" and is_small(df, IN_MEMORY_BYTES)):
+        return _by_sorting(narrow, wanted)
     return _by_narrowing(narrow, wanted)
 
 
-def _by_percentile(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | None]]:
-    row = narrow.agg(
-        *[F.percentile(n, F.array(*[F.lit(float(p)) for p in ps])).alias(n) for n, (_, ps) in wanted.items()]
-    ).first()
-    return {n: list(row[n]) if row[n] is not None else [None] * len(ps) for n, (_, ps) in wanted.items()}
+def _interpolated(low, high, share):
+    return low + (high - low) * share
+
+
+def _by_sorting(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | None]]:
+    sorted_values = narrow.agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in wanted])
+
+    def value(n: str, p: float) -> Column:
+        place = F.lit(p) * (F.size(n) - 1)
+        low, high = (F.get(n, end(place).cast("int")) for end in (F.floor, F.ceil))
+        return _interpolated(low, high, place - F.floor(place))
+
+    row = sorted_values.select(*[F.array(*[value(n, float(p)) for p in ps]).alias(n) for n, (_, ps) in wanted.items()]).first()
+    return {n: list(row[n]) for n in wanted}
 
 
 def _magnitude(v: Column) -> Column:
@@ -118,8 +127,6 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
             return None
         place = p * (totals[i] - 1)
         low, high = math.floor(place), math.ceil(place)
-        if low == high or found[(i, low)] == found[(i, high)]:
-            return found[(i, low)]
-        return (high - place) * found[(i, low)] + (place - low) * found[(i, high)]
+        return _interpolated(found[(i, low)], found[(i, high)], place - low)
 
     return {n: [value(i, float(p)) for p in wanted[n][1]] for i, n in enumerate(names)}
