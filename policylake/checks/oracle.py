@@ -530,6 +530,38 @@ SQL: dict[str, str] = {
 }
 
 
+# Double columns of the queries whose results are compared to six decimals.
+_CLIENT = (*clients.CLIPPED, "age", "driving_risk_score", "financial_stress_score")
+_POLICY = (*_pol, "nb_sinistres_precedents", "policy_duration_days")
+_VEHICLE = (*_veh, "annee_modele", "vehicle_age", "mileage_per_year")
+_CLAIM = (*_amounts, "claim_gap_amount", "claim_gap_ratio", "quantite", "taux")
+_TIMES = ("sla_jours", "duree_traitement_jours", "duree_traitement_heures")
+_PART_CLIENT = ("risque_global", "driving_risk_score", "financial_stress_score")
+ROUNDED: dict[str, tuple[str, ...]] = {
+    "quantiles": ("value",),
+    "clip_outliers": ("l_extendedprice", "l_tax"),
+    "impute_median": ("annee_modele", "kilometrage_actuel", "valeur_vehicule", "vehicle_age"),
+    "income_band": ("revenu_annuel",),
+    "vehicle_value_band": ("valeur_vehicule",),
+    "claim_severity_bucket": ("montant_indemnisation_claim",),
+    "clean_clients": _CLIENT,
+    "dim_client": _CLIENT,
+    "clean_policies": _POLICY,
+    "dim_policy": _POLICY,
+    "clean_vehicles": _VEHICLE,
+    "dim_vehicle": _VEHICLE,
+    "clean_claims": (*_CLAIM, *_TIMES),
+    "fact_claim": (*_CLAIM, *_POLICY, *_PART_CLIENT, "vehicle_age", "valeur_vehicule", "mileage_per_year", "loss_ratio"),
+    "ml_claim": (*_CLAIM, "sla_jours", *_POLICY, *_CLIENT, *[c for c in _VEHICLE if c != "annee_modele"], "premium_to_value_ratio"),
+}
+
+
+def _round(name: str, sql: str) -> str:
+    if name not in ROUNDED:
+        return sql
+    return f"select * replace ({', '.join(f'round({c}, 6) as {c}' for c in ROUNDED[name])}) from ({sql})"
+
+
 def oracle_sql() -> dict[str, str]:
     """Query name to SQL; queries that train a model have none."""
-    return {name: sql if sql.startswith("with ") else with_ctes(sql) for name, sql in SQL.items()}
+    return {name: _round(name, sql if sql.startswith("with ") else with_ctes(sql)) for name, sql in SQL.items()}

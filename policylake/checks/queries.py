@@ -36,6 +36,19 @@ def query(f: Query) -> Query:
     return f
 
 
+def rounded(f: Query) -> Query:
+    """Doubles to six decimals: engines interpolate quantiles with different last bits."""
+    inner = QUERIES[f.__name__]
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        df = inner(spark, folder)
+        doubles = {c: F.round(c, 6) for c, t in df.dtypes if t == "double"}
+        return df.withColumns(doubles)
+
+    QUERIES[f.__name__] = run
+    return f
+
+
 def _raw(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = schema.normalize_headers(raw_table(spark, folder, name))
     for key in {"clients": ["client_id"], "policies": ["contract_id", "client_id"],
@@ -488,13 +501,14 @@ def quantiles_exact(spark, folder):
     ps = (0.01, 0.2, 0.5, 0.95, 0.99)
     wanted = {c: (F.col(c), ps) for c in ("l_extendedprice", "l_quantity", "l_tax")}
     found = quantiles(df, wanted, method="narrowing")
-    rows = [(c, p, v) for c, vs in found.items() for p, v in zip(ps, vs)]
+    rows = [(c, p, round(v, 6)) for c, vs in found.items() for p, v in zip(ps, vs)]
     return literal_rows(spark, rows, ("column_name", "probability", "value"))
 
 
 QUERIES["quantiles"] = QUERIES.pop("quantiles_exact")
 
 
+@rounded
 @query
 def clip_outliers(spark, folder):
     df = spread(load(spark, folder, "lineitem")).select("l_orderkey", "l_linenumber", "l_extendedprice", F.nullif("l_tax", F.lit(0.0)).alias("l_tax"))
@@ -529,6 +543,7 @@ def recommended_staff(spark, folder):
     return counts.agg(dashboard.staff_needed(*per).alias("recommended_staff"))
 
 
+@rounded
 @query
 def impute_median(spark, folder):
     df = vehicles.parse_vehicles(raw_table(spark, folder, "vehicles"), AS_OF)
@@ -631,16 +646,19 @@ def risk_level(spark, folder):
     return delay_scoring.with_risk(scored_claims(spark, folder)).select("claim_id", "risk_level")
 
 
+@rounded
 @query
 def income_band(spark, folder):
     return _clean(spark, folder, "clients").select("client_id", "revenu_annuel", "income_band")
 
 
+@rounded
 @query
 def vehicle_value_band(spark, folder):
     return _clean(spark, folder, "vehicles").select("vehicle_id", "valeur_vehicule", "vehicle_value_band")
 
 
+@rounded
 @query
 def claim_severity_bucket(spark, folder):
     return _clean(spark, folder, "claims").select("claim_id", "montant_indemnisation_claim", "claim_severity_bucket")
@@ -648,36 +666,43 @@ def claim_severity_bucket(spark, folder):
 
 # Whole tables
 
+@rounded
 @query
 def clean_clients(spark, folder):
     return _clean(spark, folder, "clients")
 
 
+@rounded
 @query
 def clean_policies(spark, folder):
     return _clean(spark, folder, "policies")
 
 
+@rounded
 @query
 def clean_vehicles(spark, folder):
     return _clean(spark, folder, "vehicles")
 
 
+@rounded
 @query
 def clean_claims(spark, folder):
     return _clean(spark, folder, "claims")
 
 
+@rounded
 @query
 def dim_client(spark, folder):
     return warehouse.dim_client(_clean(spark, folder, "clients"), unique=True)
 
 
+@rounded
 @query
 def dim_policy(spark, folder):
     return warehouse.dim_policy(_clean(spark, folder, "policies"), unique=True)
 
 
+@rounded
 @query
 def dim_vehicle(spark, folder):
     return warehouse.dim_vehicle(_clean(spark, folder, "vehicles"))
@@ -697,11 +722,13 @@ def _wide(spark, folder) -> DataFrame:
     return stage(build.wide_claims(_staged_clean(spark, folder)), "claim_wide")
 
 
+@rounded
 @query
 def fact_claim(spark, folder):
     return warehouse.fact_claim(_wide(spark, folder))
 
 
+@rounded
 @query
 def ml_claim(spark, folder):
     return warehouse.ml_claim(_wide(spark, folder))

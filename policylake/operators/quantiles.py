@@ -37,8 +37,9 @@ def quantiles(df: DataFrame, wanted: Wanted, method: str = "auto") -> dict[str,
     return _by_narrowing(narrow, wanted)
 
 
-def _interpolated(low, high, share):
-    return low + (high - low) * share
+def _interpolated(low: float, high: float, share: float) -> float:
+    """Between two neighbours, counted from the nearer one."""
+    return low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
 
 
 def _by_sorting(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | None]]:
@@ -47,7 +48,8 @@ def _by_sorting(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | Non
     def value(n: str, p: float) -> Column:
         place = F.lit(p) * (F.size(n) - 1)
         low, high = (F.get(n, end(place).cast("int")) for end in (F.floor, F.ceil))
-        return _interpolated(low, high, place - F.floor(place))
+        share = place - F.floor(place)
+        return F.when(share < 0.5, low + (high - low) * share).otherwise(high - (high - low) * (1 - share))
 
     row = sorted_values.select(*[F.array(*[value(n, float(p)) for p in ps]).alias(n) for n, (_, ps) in wanted.items()]).first()
     return {n: list(row[n]) for n in wanted}
