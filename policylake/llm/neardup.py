@@ -9,7 +9,9 @@ reaches the threshold is compared on full shingle sets.
 
 Within a list not all pairs are made. First every member meets the list's most central member (whose coordinate pairs are
 the most frequent). Then lists whose members are already linked into one component are done; in the others members of
-different components meet. Links are lost nowhere: what is not compared is already linked.
+different components meet, if the sizes of their sets allow a link: a member can share no more than those of its shingles that
+any other member left over has, which bounds the size of its partners. So a crowd of copies that are each edited too far
+is not compared in pairs. Links are lost nowhere: what is not compared is already linked, or cannot be.
 """
 
 from __future__ import annotations
@@ -94,6 +96,10 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     return stage(chosen.mapInArrow(sets, "doc_id long, shingles array<long>"), "shingles")
 
 
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+
+
 def colliding(pairs: DataFrame, posted: DataFrame, threshold: int) -> DataFrame:
     """Those of the distinct pairs ``(a, b)`` whose signatures collide often enough."""
     first, second = (posted.select(F.col("id").alias(n), F.col("pairs").alias(f"pairs_{n}")) for n in "ab")
@@ -101,19 +107,30 @@ def colliding(pairs: DataFrame, posted: DataFrame, threshold: int) -> DataFrame:
     return both.filter(F.size(F.array_intersect("pairs_a", "pairs_b")) >= threshold).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Those of the pairs whose full sets are similar enough."""
-    pairs = stage(pairs, "candidates")
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = full_sets(docs, ids, words)
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs ``(a, b)`` whose full sets are similar enough."""
     first, second = (sets.select(F.col("doc_id").alias(n), F.col("shingles").alias(f"set_{n}")) for n in "ab")
     same = F.size(F.array_intersect("set_a", "set_b"))
     # 100 i >= p u with u = |a| + |b| - i
     enough = (100 + percent) * same >= percent * (F.size("set_a") + F.size("set_b"))
-    size_b = F.size("set_b")
-    both = pairs.join(second, "b").select("a", "b", "set_b", size_b.alias("n_b")).join(first, "a")
+    both = pairs.join(second, "b").select("a", "b", "set_b", F.size("set_b").alias("n_b")).join(first, "a")
     possible = (100 * F.least("n_b", F.size("set_a"))) >= percent * F.greatest("n_b", F.size("set_a"))
-    return stage(both.filter(possible).filter(enough).select("a", "b"), "links")
+    return stage(both.filter(possible).filter(enough).select("a", "b").distinct(), "links")
+
+
+def partner_sizes(sets: DataFrame, percent: int) -> DataFrame:
+    """``(id, n, low, high)``: how large a set must be to be linked with this one, given the shingles it shares with any other of the sets.
+
+    With i common shingles, 100 i >= p (n + m - i). As i is at most the number s of shared shingles, m is at most
+    s (100 + p) / p - n; and m is at least p n / 100. A set with too few shared shingles has no partner and is left out.
+    """
+    every = sets.select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    shared = every.groupBy("s").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
+    counted = every.join(shared, "s", "left_semi").groupBy("doc_id", "n").agg(F.count(F.lit(1)).alias("shared"))
+    return counted.select(
+        F.col("doc_id").alias("id"), "n", F.ceil(F.col("n") * percent / 100).cast("int").alias("low"),
+        (F.floor(F.col("shared") * (100 + percent) / percent) - F.col("n")).cast("int").alias("high"),
+    ).filter("low <= high")
 
 
 def near_duplicates(
@@ -145,17 +162,24 @@ def near_duplicates(
     heads = short.groupBy("pair").agg(F.max_by("id", F.struct("centre", -F.col("id"))).alias("head"))
     star = short.join(heads, "pair").filter("id <> head").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
     met = stage(star, "met")
-    links = confirmed(colliding(met, posted, threshold), rows, words, percent)
+    met = stage(colliding(met, posted, threshold), "candidates")
+    links = confirmed(met, full_sets(rows, ends_of(met), words), percent)
     groups = stage(connected(links, "a", "b"), "components")
 
     # Lists that still join several components: members of different ones.
     own = short.join(groups, short["id"] == groups["node"], "left").select("id", "pair", F.coalesce("component", "id").alias("of"))
     mixed_lists = own.groupBy("pair").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least < most").select("pair")
     own = stage(own.join(mixed_lists, "pair"), "mixed-lists")
-    left, right = (own.select(F.col("id").alias(n), F.col("of").alias(f"of_{n}"), "pair") for n in "ab")
-    cross = left.join(right, "pair").filter("a < b and of_a <> of_b").select("a", "b").distinct()
-    cross = cross.join(met, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(colliding(cross, posted, threshold), rows, words, percent))
+    sets = full_sets(rows, own.select(F.col("id").alias("doc_id")).distinct(), words)
+    sized = own.join(stage(partner_sizes(sets, percent), "sizes"), "id")
+    step = lambda n: F.floor(F.log(n) / F.log(F.lit(1.1)))
+    larger = sized.select(F.col("id").alias("a"), F.col("of").alias("of_a"), "pair", F.col("n").alias("n_a"), "low", F.col("high").alias("high_a"),
+                          F.explode(F.sequence(step(F.col("low")), step(F.least("n", "high")))).alias("step"))
+    smaller = sized.filter("high >= n").select(F.col("id").alias("b"), F.col("of").alias("of_b"), "pair", F.col("n").alias("n_b"), F.col("high").alias("high_b"), step(F.col("n")).alias("step"))
+    cross = larger.join(smaller, ["pair", "step"]).filter("of_a <> of_b and n_b between low and high_a and n_a between n_b and high_b")
+    cross = stage(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
+    cross = colliding(cross, posted, threshold).join(met, ["a", "b"], "left_anti")
+    links = links.unionByName(confirmed(cross, sets, percent))
     groups = stage(connected(links, "a", "b"), "components")
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
