@@ -11,7 +11,7 @@ Within a list not all pairs are made. First every member meets the list's most c
 the most frequent). Then lists whose members are already linked into one component are done; in the others members of
 different components meet, if the sizes of their sets allow a link: a member can share no more than those of its shingles that
 any other member left over has, which bounds the size of its partners. So a crowd of copies that are each edited too far
-is not compared in pairs. Links are lost nowhere: what is not compared is already linked, or cannot be.
+is not compared in pairs. Long lists are compared block by block, which sends links only. Links are lost nowhere: what is not compared is already linked, or cannot be.
 """
 
 from __future__ import annotations
@@ -31,6 +31,7 @@ WORDS = 5
 COORDINATES, THRESHOLD = 40, 15
 MISS = 1.2e-7  # P(fewer than 15 of 40 coordinates agree) at a similarity of 0.75
 BROADCAST_IDS = 1_000_000
+CROWD, CROWD_BLOCK = 32, 256  # lists above the first are compared block by block
 
 SIGNED = "doc_id long, n_shingles long, high long, low long, pairs array<long>"
 SIGNED_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("high", pa.int64()), ("low", pa.int64()), ("pairs", pa.list_(pa.int64()))])
@@ -133,6 +134,53 @@ def partner_sizes(sets: DataFrame, percent: int) -> DataFrame:
     ).filter("low <= high")
 
 
+def crowd_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between the components of crowds: members that long lists bring together.
+
+    A crowd is dealt to blocks, and each two blocks are compared in one task by a product of two incidence matrices over the shingles
+    they share. Only links leave the task, so a crowd of similar texts below the threshold sends no pairs.
+    """
+    heads = members.groupBy("pair").agg(F.min("id").alias("head"))
+    edges = members.join(heads, "pair").select("id", "head").distinct()
+    crowd = stage(connected(edges, "id", "head"), "crowds")
+    sizes = crowd.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / CROWD_BLOCK).cast("int").alias("blocks"))
+    of = members.select(F.col("id").alias("node"), "of").distinct()
+    rows = crowd.join(sizes, "component").join(of, "node").join(sets, F.col("node") == F.col("doc_id"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = rows.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("component", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "own", F.col("node").alias("id"), "of", "shingles")
+
+    def compare(key: tuple, table: pa.Table) -> pa.Table:
+        _, x, y = (k.as_py() for k in key)
+        own = table.column("own").to_numpy()
+        ids, parts_of = table.column("id").to_numpy(), table.column("of").to_numpy()
+        held = [np.array(s, np.int64) for s in table.column("shingles").to_pylist()]
+        first, second = np.flatnonzero(own == x), np.flatnonzero(own == y)
+        if not len(first) or not len(second):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        common = np.intersect1d(np.concatenate([held[n] for n in first]), np.concatenate([held[n] for n in second]))
+        same = np.zeros((len(first), len(second)), np.float32)
+        for at in range(0, len(common), 1 << 14):
+            some = common[at : at + (1 << 14)]
+            same += _incidence([held[n] for n in first], some) @ _incidence([held[n] for n in second], some).T
+        sizes_ = np.array([len(s) for s in held], np.float64)
+        enough = (100 + percent) * same.astype(np.float64) >= percent * (sizes_[first][:, None] + sizes_[second][None, :])
+        a, b = np.nonzero(enough & (parts_of[first][:, None] != parts_of[second][None, :]))
+        a, b = ids[first[a]], ids[second[b]]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return dealt.groupBy("component", "x", "y").applyInArrow(compare, "a long, b long")
+
+
+def _incidence(sets: list[np.ndarray], among: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(sets), len(among)), np.float32)
+    for row, one in zip(out, sets):
+        at = np.searchsorted(among, one)
+        at[at == len(among)] = 0
+        row[at[among[at] == one]] = 1
+    return out
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, words: int = WORDS,
     coordinates: int = COORDINATES, threshold: int = THRESHOLD,
@@ -171,7 +219,10 @@ def near_duplicates(
     mixed_lists = own.groupBy("pair").agg(F.min("of").alias("least"), F.max("of").alias("most")).filter("least < most").select("pair")
     own = stage(own.join(mixed_lists, "pair"), "mixed-lists")
     sets = full_sets(rows, own.select(F.col("id").alias("doc_id")).distinct(), words)
-    sized = own.join(stage(partner_sizes(sets, percent), "sizes"), "id")
+    sized = stage(own.join(partner_sizes(sets, percent), "id"), "sizes")
+    crowded = sized.groupBy("pair").agg(F.count(F.lit(1)).alias("times")).filter(F.col("times") > CROWD).select("pair")
+    crowds = crowd_links(sized.join(crowded, "pair"), sets, percent)
+    sized = sized.join(crowded, "pair", "left_anti")
     step = lambda n: F.floor(F.log(n) / F.log(F.lit(1.1)))
     larger = sized.select(F.col("id").alias("a"), F.col("of").alias("of_a"), "pair", F.col("n").alias("n_a"), "low", F.col("high").alias("high_a"),
                           F.explode(F.sequence(step(F.col("low")), step(F.least("n", "high")))).alias("step"))
@@ -179,7 +230,7 @@ def near_duplicates(
     cross = larger.join(smaller, ["pair", "step"]).filter("of_a <> of_b and n_b between low and high_a and n_a between n_b and high_b")
     cross = stage(cross.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "met")
     cross = colliding(cross, posted, threshold).join(met, ["a", "b"], "left_anti")
-    links = links.unionByName(confirmed(cross, sets, percent))
+    links = stage(links.unionByName(confirmed(cross, sets, percent)).unionByName(crowds).distinct(), "links")
     groups = stage(connected(links, "a", "b"), "components")
 
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
