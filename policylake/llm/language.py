@@ -45,8 +45,8 @@ def chunks(rows: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, list[byt
 
 
 def grams(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashed trigrams of the texts, two blanks after each; their starts; which trigrams are of blanks only."""
-    data = b"  ".join(rows).translate(LETTERS) + b"    "
+    """Hashed trigrams of the texts, two blanks before and after each; their starts; which trigrams are of blanks only."""
+    data = b"  " + b"  ".join(rows).translate(LETTERS) + b"  "
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     starts = np.cumsum([0] + [len(r) + 2 for r in rows[:-1]])
