@@ -402,6 +402,9 @@ SQL: dict[str, str] = {
     "ingest_append": "select * from orders union all select * from conformed",
     "ingest_quarantine": "select o_orderkey, o_totalprice, o_orderdate, concat_ws(',', case when o_totalprice = 'abc' then 'o_totalprice' end, "
                          "case when o_orderdate = '32/01/2020' then 'o_orderdate' end) as reason from arriving where o_totalprice = 'abc' or o_orderdate = '32/01/2020'",
+    "ingest_corrupt_lines": "select 'raw.orders' as table_name, count(*) as read, count(*) filter (not bad) as appended, count(*) filter (bad) as set_aside, "
+                            "count(*) filter (not bad) as grown, count(*) filter (corrupt) as corrupt from (select corrupt, corrupt or o_totalprice = 'abc' "
+                            "or o_orderdate = '32/01/2020' as bad from (select *, o_orderkey::bigint % 30 = 7 as corrupt from arriving))",
     "ingest_dry_run": "select o_orderkey, o_totalprice, (select count(*) from conformed) as would_append from conformed order by o_orderkey limit 3",
     "ingest_summary": "select table_name, n as read, n as appended, 0::bigint as set_aside from (select 'raw.customer' as table_name, count(*) as n from customer "
                       "union all select 'raw.orders', count(*) from orders union all select 'raw.part', count(*) from part "
@@ -410,7 +413,7 @@ SQL: dict[str, str] = {
     "load_replace": "select * from customer",
     "load_append": "select * from part union all select * from part",
     "load_all_counts": _TEN_COUNTS,
-    "output_row_counts": _TEN_COUNTS,
+    "pipeline_row_counts": _TEN_COUNTS,
     "schema_diff": "select 'extra_column' as column_name, 'extra' as side, count(*) as filled from arriving union all select 'o_custkey', 'both', count(o_custkey) from orders "
                    "union all select 'o_orderdate', 'both', count(o_orderdate) from orders union all select 'o_orderkey', 'both', count(o_orderkey) from orders "
                    "union all select 'o_orderpriority', 'both', count(o_orderpriority) from orders union all select 'o_orderstatus', 'missing', count(o_orderstatus) from orders "

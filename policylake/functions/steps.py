@@ -22,13 +22,3 @@ def apply_steps(df: DataFrame, rules: Mapping[str, Steps]) -> DataFrame:
     for depth in range(max((len(s) for s in present.values()), default=0)):
         df = df.withColumns({c: s[depth](F.col(c)) for c, s in present.items() if depth < len(s)})
     return df
-
-
-def chain(*steps: Step) -> Step:
-    """The steps as one expression, for a value that is used once."""
-    def run(c: Column) -> Column:
-        for step in steps:
-            c = step(c)
-        return c
-
-    return run

@@ -17,5 +17,7 @@ def keep_first(df: DataFrame, key: str, order_by: Sequence[str] = ()) -> DataFra
     """
     order = [c for c in order_by if c != key]
     order += [c for c in df.columns if c != key and c not in order]
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order]))
+    plain = {f.name: "map<" not in f.dataType.simpleString() for f in df.schema.fields}
+    by = [F.col(c) if plain[c] else F.to_json(F.struct(c)) for c in order]  # maps have no order of their own
+    rank = F.row_number().over(Window.partitionBy(key).orderBy(*[c.asc_nulls_first() for c in by]))
     return df.withColumn("__rank", rank).filter("__rank = 1").drop("__rank")

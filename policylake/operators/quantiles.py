@@ -1,7 +1,7 @@
-"""Exact quantiles with linear interpolation, for one task's memory or for any size.
+"""Exact quantiles with linear interpolation, the same way at any size.
 
-Sorting the values, like ``percentile``, needs them all in one task. Above a small size
-limit the value range is narrowed instead: each pass counts rows per bin with map-side partial
+Sorting the values, like ``percentile``, needs them all in one task. The value range
+is narrowed instead: each pass counts rows per bin with map-side partial
 sums, then goes on inside the bins that hold the wanted ranks. A pass keeps at most a few
 thousand counters per wanted rank whatever the data looks like, moves no rows, and the
 result is exact. Bins start as powers of 2**(1/64), so at most five passes exhaust a double.
@@ -15,26 +15,23 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sizes import is_small, literal_rows
+from .sizes import literal_rows
 
 Wanted = Mapping[str, tuple[Column, Sequence[float]]]
 
-IN_MEMORY_BYTES = 4 << 20
 SPLITS = 4096
+PASSES = 8
 
 
-def quantiles(df: DataFrame, wanted: Wanted, method: str = "auto") -> dict[str, list[float | None]]:
-    """Quantiles of several columns at once; nulls are ignored, no values give None.
+def quantiles(df: DataFrame, wanted: Wanted) -> dict[str, list[float | None]]:
+    """Quantiles of several columns at once; no values give None.
 
-    ``wanted`` maps a name to (column, probabilities). ``method`` is ``auto``, ``sorting``
-    (values of a source of known small size, in one task) or ``narrowing`` (any size). The result is a handful of numbers.
+    ``wanted`` maps a name to (column, probabilities). Nulls, NaN and both infinities are left out. The result is a
+    handful of numbers.
     """
     if not wanted:
         return {}
-    narrow = df.select(*[c.cast("double").alias(name) for name, (c, _) in wanted.items()])
-    if method == "sorting" or (method == "auto" and is_small(df, IN_MEMORY_BYTES)):
-        return _by_sorting(narrow, wanted)
-    return _by_narrowing(narrow, wanted)
+    return _by_narrowing(df.select(*[c.cast("double").alias(name) for name, (c, _) in wanted.items()]), wanted)
 
 
 def _interpolated(low: float, high: float, share: float) -> float:
@@ -42,19 +39,6 @@ def _interpolated(low: float, high: float, share: float) -> float:
     return low + (high - low) * share if share < 0.5 else high - (high - low) * (1 - share)
 
 
-def _by_sorting(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | None]]:
-    sorted_values = narrow.agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in wanted])
-
-    def value(n: str, p: float) -> Column:
-        place = F.lit(p) * (F.size(n) - 1)
-        low, high = (F.get(n, end(place).cast("int")) for end in (F.floor, F.ceil))
-        share = place - F.floor(place)
-        return F.when(share < 0.5, low + (high - low) * share).otherwise(high - (high - low) * (1 - share))
-
-    row = sorted_values.select(*[F.array(*[value(n, float(p)) for p in ps]).alias(n) for n, (_, ps) in wanted.items()]).first()
-    return {n: list(row[n]) for n in wanted}
-
-
 def _magnitude(v: Column) -> Column:
     """Non-decreasing integer of a double, constant over a factor of 2**(1/64)."""
     def size(x: Column) -> Column:
@@ -76,7 +60,7 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
     spark = narrow.sparkSession
     names = list(wanted)
     pairs = [F.struct(F.lit(i).alias("series"), F.col(n).alias("value")) for i, n in enumerate(names)]
-    rows = narrow.select(F.inline(F.array(*pairs))).filter("value is not null")
+    rows = narrow.select(F.inline(F.array(*pairs))).filter(F.abs("value") < float("inf"))
 
     totals: dict[int, int] = {}
     first = _histogram(rows.withColumn("bin", _magnitude(F.col("value"))), ["series"])
@@ -108,7 +92,9 @@ def _by_narrowing(narrow: DataFrame, wanted: Wanted) -> dict[str, list[float | N
     for h in ranked:
         totals[h["series"]] = h["total"]
     sort_out(ranked)
-    while open_bins:
+    for _ in range(PASSES):  # a bin holds under a 64th of a power of two, which five passes take apart
+        if not open_bins:
+            break
         bins = literal_rows(spark, open_bins, ("series", "rank", "inside", "from", "to"))
         share = (F.col("value") - F.col("from")) / (F.col("to") - F.col("from"))
         inner = (

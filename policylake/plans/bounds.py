@@ -27,9 +27,9 @@ def narrowed(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return stage(df.select(*present), "limits") if present else df.select()
 
 
-def clip_bounds(df: DataFrame, columns: Iterable[str], method: str = "auto") -> Bounds:
+def clip_bounds(df: DataFrame, columns: Iterable[str]) -> Bounds:
     """Clip ends of the listed columns that exist, all in the same passes."""
-    return quantiles(df, {c: (F.col(c), CLIP_QUANTILES) for c in columns if c in df.columns}, method)
+    return quantiles(df, {c: (F.col(c), CLIP_QUANTILES) for c in columns if c in df.columns})
 
 
 def clipped(bounds: Bounds, name: str, c: Column | None = None) -> Column:

@@ -76,16 +76,16 @@ def _with_features(parsed: DataFrame, bounds: Bounds) -> DataFrame:
     return with_gap(df) if {PAYOUT, ESTIMATE} <= set(df.columns) else df
 
 
-def claim_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+def claim_bounds(parsed: DataFrame) -> Bounds:
     parsed = narrowed(parsed, AMOUNTS)
-    bounds = clip_bounds(parsed, AMOUNTS, method)
+    bounds = clip_bounds(parsed, AMOUNTS)
     df = _with_features(parsed, bounds)
     second = {}
     if PAYOUT in df.columns:
         second["claim_severity_bucket"] = (F.col(PAYOUT), bands.SEVERITY_QUANTILES)
     if "claim_gap_ratio" in df.columns:
         second["claim_gap_ratio"] = (F.col("claim_gap_ratio"), CLIP_QUANTILES)
-    return bounds | quantiles(df, second, method)
+    return bounds | quantiles(df, second)
 
 
 def clean_claims(

@@ -65,12 +65,12 @@ def parse_clients(raw: DataFrame) -> DataFrame:
     return df.filter(F.col("client_id").isNotNull())
 
 
-def client_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+def client_bounds(parsed: DataFrame) -> Bounds:
     parsed = narrowed(parsed, CLIPPED)
-    bounds = clip_bounds(parsed, CLIPPED, method)
+    bounds = clip_bounds(parsed, CLIPPED)
     if "revenu_annuel" in parsed.columns:
         income = {"income_band": (clipped(bounds, "revenu_annuel"), bands.QUINTILES)}
-        bounds |= quantiles(parsed, income, method)
+        bounds |= quantiles(parsed, income)
     return bounds
 
 

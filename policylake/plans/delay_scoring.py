@@ -37,14 +37,16 @@ def with_default_delay(scored: DataFrame) -> DataFrame:
 def score_claims(claims: DataFrame, delay: PipelineModel, duration: PipelineModel | None = None) -> DataFrame:
     """Claims with ``delay_probability``, ``risk_level`` and ``predicted_delay_days``.
 
-    With a duration model only claims above the limit get days, the others get null.
+    With a duration model only claims above the limit get days, the others get null; where no claim is above it, all get 0.
     """
     keep = claims.columns
     scored = delay.transform(claims).withColumn("delay_probability", delay_probability())
     scored = with_risk(scored.select(*keep, "delay_probability"))
     if duration is None:
         return with_default_delay(scored)
-    days = F.when(F.col("delay_probability") > LATE_ABOVE, F.col("prediction"))
+    late = F.col("delay_probability") > LATE_ABOVE
+    none_late = ~F.coalesce(scored.agg(F.max(late).alias("late")).scalar(), F.lit(False))
+    days = F.when(late, F.col("prediction")).when(none_late, 0.0)
     kept = scored.columns
     return duration.transform(scored).withColumn("predicted_delay_days", days).select(*kept, "predicted_delay_days")
 

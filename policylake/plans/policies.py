@@ -36,9 +36,9 @@ def parse_policies(raw: DataFrame) -> DataFrame:
     return apply_steps(df, rules)
 
 
-def policy_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+def policy_bounds(parsed: DataFrame) -> Bounds:
     parsed = narrowed(parsed, CLIPPED)
-    return clip_bounds(parsed, CLIPPED, method)
+    return clip_bounds(parsed, CLIPPED)
 
 
 def clean_policies(raw: DataFrame, bounds: Bounds | None = None, order_by: Sequence[str] = ()) -> DataFrame:

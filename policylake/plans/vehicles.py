@@ -56,13 +56,13 @@ def _with_km_per_year(parsed: DataFrame, bounds: Bounds) -> DataFrame:
     return apply_steps(df, {"mileage_per_year": [numbers.within(0, MAX_KM_PER_YEAR)]})
 
 
-def vehicle_bounds(parsed: DataFrame, method: str = "auto") -> Bounds:
+def vehicle_bounds(parsed: DataFrame) -> Bounds:
     parsed = narrowed(parsed, [*RANGES, "vehicle_age"])
-    bounds = clip_bounds(parsed, RANGES, method)
+    bounds = clip_bounds(parsed, RANGES)
     second = {"mileage_per_year": (F.col("mileage_per_year"), CLIP_QUANTILES)}
     if "valeur_vehicule" in parsed.columns:
         second["vehicle_value_band"] = (F.col("valeur_vehicule"), bands.QUINTILES)
-    return bounds | quantiles(_with_km_per_year(parsed, bounds), second, method)
+    return bounds | quantiles(_with_km_per_year(parsed, bounds), second)
 
 
 def clean_vehicles(

@@ -116,7 +116,7 @@ def dim_time(policies: DataFrame, claims: DataFrame) -> DataFrame:
     found = [days(policies, ("date_debut_contrat", "date_fin_contrat")), days(claims, (OPENED, CLOSED))]
     found = [d for d in found if d is not None]
     if not found:
-        raise ValueError("no date column in policies or claims")
+        found = [policies.select(F.lit(None).cast("date").alias("full_date")).filter(F.lit(False))]
     every = found[0] if len(found) == 1 else found[0].unionAll(found[1]).distinct()
     day = F.col("full_date")
     return every.select(
@@ -170,10 +170,10 @@ def _attach(have: dict[str, Column], wide: DataFrame, names: Sequence[str], pref
     return out
 
 
-def fact_bounds(wide: DataFrame, method: str = "auto") -> Bounds:
+def fact_bounds(wide: DataFrame) -> Bounds:
     if not {PAYOUT, POLICY + "prime_assurance_annuelle"} <= set(wide.columns):
         return {}
-    return quantiles(wide, {"loss_ratio": (_loss_ratio(), CLIP_QUANTILES)}, method)
+    return quantiles(wide, {"loss_ratio": (_loss_ratio(), CLIP_QUANTILES)})
 
 
 def _loss_ratio() -> Column:
@@ -195,10 +195,10 @@ def fact_claim(wide: DataFrame, bounds: Bounds | None = None) -> DataFrame:
     return wide.select(*[c.alias(n) for n, c in out.items() if n not in FACT_DROPPED])
 
 
-def ml_bounds(wide: DataFrame, method: str = "auto") -> Bounds:
+def ml_bounds(wide: DataFrame) -> Bounds:
     if not {POLICY + "prime_assurance_annuelle", VEHICLE + "valeur_vehicule"} <= set(wide.columns):
         return {}
-    return quantiles(wide, {"premium_to_value_ratio": (_premium_to_value(), CLIP_QUANTILES)}, method)
+    return quantiles(wide, {"premium_to_value_ratio": (_premium_to_value(), CLIP_QUANTILES)})
 
 
 def _premium_to_value() -> Column:

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import parsed_timestamp
-from ..functions.numbers import FALSE_WORDS, NOT_IN_NUMBERS, TRUE_WORDS, finite
+from ..functions.numbers import NOT_IN_NUMBERS, finite, flag
 from ..functions.steps import Steps, apply_steps
 from ..functions.text import strip, without
+from ..session import stage
 from .tables import existing_table, write_table
 
 CORRUPT = "_corrupt_record"
@@ -34,19 +35,23 @@ def csv_schema(columns: Sequence[str]) -> T.StructType:
 def csv_header(spark: SparkSession, path: str) -> list[str] | None:
     """Column names of a CSV file or folder; None where there is no such file."""
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.option("header", True).option("escape", '"').csv(path).columns
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
         raise
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame | None:
-    """The file as text columns; the values are typed later, by the target table."""
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame | None:
+    """The file as text columns; the values are typed later, by the target table.
+
+    A doubled quote in a quoted field is one quote. ``multi_line`` allows line breaks in quoted fields; such a
+    file cannot be split, so it is off unless a source needs it.
+    """
     header = csv_header(spark, path)
     if header is None:
         return None
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", multi_line)
     return reader.schema(csv_schema(header)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
 
 
@@ -57,8 +62,7 @@ def casting(target: T.DataType) -> Steps:
     if isinstance(target, (T.TimestampNTZType, T.TimestampType, T.DateType)):
         return (*parsed_timestamp(), lambda c: c.cast(target))
     if isinstance(target, T.BooleanType):
-        words = TRUE_WORDS + FALSE_WORDS
-        return (lambda c: F.lower(strip(c)), lambda c: F.when(c.isin(*words), c.isin(*TRUE_WORDS)))
+        return flag()
     plain = (strip, lambda c: F.when(~c.rlike(NOT_IN_NUMBERS), c))
     if isinstance(target, T.IntegralType):
         return (*plain, lambda c: F.coalesce(c.try_cast(target), _whole(c.try_cast("double")).try_cast(target)))
@@ -125,24 +129,25 @@ def append_csv(
     key: str | None = None,
     quarantine: str | None = None,
     dry_run: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Append a CSV file to an existing raw table; returns one row of counts.
 
     A missing file counts as nothing to do. Values that do not fit the table become null;
     with a ``quarantine`` table their rows go there whole instead. Corrupt lines and rows
     without the ``key`` are never appended. A dry run only counts.
+
+    The file is parsed once: its checked rows are staged whole, and counts and both writes come from there, so what is
+    counted is what is written, also when more files arrive meanwhile.
     """
     target = existing_table(spark, root, table)
     if target is None:
         raise ValueError(f"{table} does not exist below {root}")
-    new = read_csv(spark, path)
+    new = read_csv(spark, path, multi_line)
     if new is None:
         return _counts(spark, table, 0, 0, 0)
-    rows = checked(new, target.schema, key, strict=quarantine is not None)
-    summary = rows.agg(
-        F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason") != "").alias("set_aside"),
-        F.count(f"`{new.columns[0]}`").alias("filled"),  # Spark refuses to read the corrupt mark alone
-    ).first()
+    rows = stage(checked(new, target.schema, key, strict=quarantine is not None), "arrivals")
+    summary = rows.agg(F.count(F.lit(1)).alias("read"), F.count_if(F.col("reason") != "").alias("set_aside")).first()
     appended = summary["read"] - summary["set_aside"]
     if not dry_run:
         if quarantine and summary["set_aside"]:

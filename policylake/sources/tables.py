@@ -31,11 +31,6 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(root, name))
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, column: str, low, high, parts: int, **options: str) -> DataFrame:
-    """A database table read in parallel ranges of one column."""
-    return spark.read.jdbc(url, table, column, low, high, parts, properties=options)
-
-
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name.replace('.', '/')}"
 
@@ -66,12 +61,13 @@ def _swap_in(spark: SparkSession, new: str, path: str) -> None:
         fs.delete(old, True)
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key: str | None = None) -> None:
+def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key: str | None = None, replace_changed: bool = False) -> None:
     """Write one table, ``append`` or ``replace``.
 
     Non-finite numbers become null. A key must be filled and unique. The first write of a
-    table must have rows. If the column names differ from the present table, it is
-    replaced whole. A replacement is written beside the old table and then swapped in.
+    table must have rows. Rows with other column names than the present table has are not appended, but with
+    ``replace_changed`` they replace it. A replacement is written beside the old table and then swapped in; between
+    the two renames of the swap there is no table, so readers must not run meanwhile.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"mode is {mode!r}, not append or replace")
@@ -80,12 +76,15 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key:
     present = existing_table(spark, root, name)
     if (present is None or not same_headers(present, df)) and df.isEmpty():
         raise ValueError(f"{name} cannot be created from an empty table")
-    add = mode == "append" and present is not None and same_headers(present, df)
+    add = mode == "append" and present is not None
+    if add and not same_headers(present, df):
+        if not replace_changed:
+            raise ValueError(f"{name}: the column names differ from the present table's")
+        add = False
     if key:
-        keys = df.select(key)
-        if add:
-            keys = keys.unionAll(present.select(key))
-        bad = key_violations(keys, key).limit(5).collect()
+        bad = key_violations(df.select(key), key).limit(5).collect()
+        if add and not bad:  # only the batch's keys are looked up in the present table
+            bad = df.select(F.col(key).alias("key")).join(present.select(F.col(key).alias("key")), "key", "left_semi").limit(5).collect()
         if bad:
             raise ValueError(f"{name}: {key} is null or repeated, e.g. {[r['key'] for r in bad]}")
     path = table_path(root, name)

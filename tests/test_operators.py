@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -23,24 +24,29 @@ def columns_of_numbers():
         "close": [1.0 + i * 2.0 ** -52 for i in range(n)],
         "with_nulls": [None if i % 5 else float(i) for i in range(n)],
         "empty": [None] * n,
+        "not_finite": [(float("nan"), float("inf"), -float("inf"), None)[i % 4] if i % 3 else float(i) for i in range(n)],
     }
 
 
-@pytest.mark.parametrize("method", ["sorting", "narrowing"])
-def test_quantiles_equal_brute_force(spark, method):
+def test_quantiles_equal_brute_force(spark):
     data = columns_of_numbers()
     df = spark.createDataFrame(list(zip(*data.values())), ", ".join(f"{c} double" for c in data)).repartition(5)
-    found = quantiles(df, {c: (F.col(c), PS) for c in data}, method)
+    found = quantiles(df, {c: (F.col(c), PS) for c in data})
     for c, values in data.items():
-        values = [v for v in values if v is not None]
+        values = [v for v in values if v is not None and math.isfinite(v)]
         wanted = [None] * len(PS) if not values else [float(np.quantile(values, p)) for p in PS]
         assert found[c] == (wanted if not values else pytest.approx(wanted, rel=1e-12, abs=0)), c
 
 
-def test_methods_agree_to_the_last_bit(spark, folder):
-    df = spark.read.parquet(f"{folder}/lineitem.parquet")
-    wanted = {c: (F.col(c), PS) for c in ("l_extendedprice", "l_tax")}
-    assert quantiles(df, wanted, "sorting") == quantiles(df, wanted, "narrowing")
+def test_quantiles_of_a_file_that_packs_well(spark, tmp_path):
+    path = str(tmp_path / "packed")
+    spark.range(1_000_000).select((F.col("id") % 7).cast("double").alias("v")).write.parquet(path)
+    assert quantiles(spark.read.parquet(path), {"v": (F.col("v"), (0.0, 0.5, 1.0))}) == {"v": [0.0, 3.0, 6.0]}
+
+
+def test_keep_first_with_maps(spark):
+    df = spark.sql("select * from values (1, map('a', 2)), (1, map('a', 1)), (2, null) as t(k, m)")
+    assert {(r["k"], str(r["m"])) for r in keep_first(df, "k").collect()} == {(1, "{'a': 1}"), (2, "None")}
 
 
 def hot_tables(spark):

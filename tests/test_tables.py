@@ -20,7 +20,9 @@ def test_write_modes_and_guards(spark, tmp_path):
     assert tables.read_table(spark, root, "stg.t").count() == 4
     with pytest.raises(ValueError, match="repeated"):
         tables.write_table(a, root, "stg.t", "append", "id")
-    tables.write_table(a.withColumn("extra", F.lit(1)), root, "stg.t", "append")
+    with pytest.raises(ValueError, match="differ"):
+        tables.write_table(a.withColumn("extra", F.lit(1)), root, "stg.t", "append")
+    tables.write_table(a.withColumn("extra", F.lit(1)), root, "stg.t", "append", replace_changed=True)
     assert tables.read_table(spark, root, "stg.t").columns == ["id", "v", "extra"]
     with pytest.raises(ValueError, match="empty"):
         tables.write_table(a.filter("false"), root, "stg.new")
@@ -43,6 +45,22 @@ def test_ingest(spark, tmp_path):
     assert ingest.append_csv(spark, str(tmp_path / "none.csv"), root, "raw.t").first()["read"] == 0
 
 
+def test_ingest_keeps_every_line(spark, tmp_path):
+    root, csv = str(tmp_path / "zones"), str(tmp_path / "new.csv")
+    old = spark.createDataFrame([(1, "a", True)], "id bigint, name string, ok boolean")
+    tables.write_table(old, root, "raw.t", "replace")
+    with open(csv, "w") as f:
+        f.write('id,name,ok\n2,"say ""hi"", ok",1.0\n3,b,0.0,too many\n4\n5,c,false\n')
+    row = ingest.append_csv(spark, csv, root, "raw.t", "id", "raw.t_rejected").first()
+    assert (row["read"], row["appended"], row["set_aside"]) == (4, 2, 2)
+    assert {tuple(r) for r in tables.read_table(spark, root, "raw.t").collect()} == {(1, "a", True), (2, 'say "hi", ok', True), (5, "c", False)}
+    lines = {r[ingest.CORRUPT] for r in tables.read_table(spark, root, "raw.t_rejected").collect()}
+    assert lines == {"3,b,0.0,too many", "4"}
+    with open(csv, "w") as f:
+        f.write('id,name,ok\n7,"two\nlines",true\n')
+    assert ingest.append_csv(spark, csv, root, "raw.t", "id", "raw.t_rejected", multi_line=True).first()["appended"] == 1
+
+
 @pytest.fixture(scope="module")
 def outputs(spark, folder):
     return build.build_outputs(raw_tables(spark, folder), date(2024, 6, 30))
