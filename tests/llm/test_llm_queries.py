@@ -9,7 +9,7 @@ from policylake.llm import queries
 from policylake.llm.oracle import ORACLE
 
 from check_oracles import compare, connect
-from test_operators import low, shingle_set
+from test_llm_operators import low, shingle_set
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
