@@ -25,7 +25,6 @@ from .inputs import AS_OF, ORDER, arriving_csv, arriving_orders, scored_claims
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SMALL = delay_training.TrainingSize(trees=10, tree_depth=5, rounds=5, boost_depth=3)
 
 
 def query(f: Query) -> Query:
@@ -768,17 +767,17 @@ def _staged_learning(spark, folder) -> tuple[DataFrame, DataFrame]:
 
 @query
 def train_delay_models(spark, folder):
-    return delay_training.train_delay_models(_staged_learning(spark, folder)[0], SMALL).metrics
+    return delay_training.train_delay_models(_staged_learning(spark, folder)[0]).metrics
 
 
 @query
 def train_duration_model(spark, folder):
-    return delay_training.train_duration_model(*_staged_learning(spark, folder), SMALL)[1]
+    return delay_training.train_duration_model(*_staged_learning(spark, folder))[1]
 
 
 @query
 def model_metrics_table(spark, folder):
-    trained = delay_training.train_delay_models(_staged_learning(spark, folder)[0], SMALL)
+    trained = delay_training.train_delay_models(_staged_learning(spark, folder)[0])
     path = scratch_folder(spark, "models")
     delay_training.save_models(trained, path)
     return spark.read.parquet(f"{path}/metrics")
@@ -787,8 +786,8 @@ def model_metrics_table(spark, folder):
 @query
 def score_claims(spark, folder):
     ml, clean = _staged_learning(spark, folder)
-    trained = delay_training.train_delay_models(ml, SMALL)
-    duration, _ = delay_training.train_duration_model(ml, clean, SMALL)
+    trained = delay_training.train_delay_models(ml)
+    duration, _ = delay_training.train_duration_model(ml, clean)
     path = scratch_folder(spark, "models")
     delay_training.save_models(trained, path, duration)
     scored = delay_scoring.score_claims(
@@ -834,7 +833,7 @@ def stream_score(spark, folder):
     clean = {n: stage(df, n) for n, df in build.clean_tables(raw, limits, AS_OF, ORDER).items()}
     wide = stage(build.wide_claims(clean), "claim_wide")
     limits["ml"] = warehouse.ml_bounds(wide)
-    trained = delay_training.train_delay_models(warehouse.ml_claim(wide, limits["ml"]), SMALL)
+    trained = delay_training.train_delay_models(warehouse.ml_claim(wide, limits["ml"]))
     arriving = scratch_folder(spark, "arriving_claims")
     source = schema.normalize_headers(raw["claims"])
     source.write.parquet(arriving)

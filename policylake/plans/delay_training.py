@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 from ..operators.quantiles import quantiles
 from ..operators.schema import feature_columns
 from ..operators.sizes import literal_rows
+from ..session import stage
 from .claims import DAYS
 
 TARGET = "is_delayed"
 SEED = 42
 TEST_SHARE = 0.2
 MIN_DURATION_ROWS = 100
-MAX_CATEGORIES = 1000
 HASHED_FEATURES = 4096
 
 # Columns that identify a claim or tell its outcome.
@@ -139,22 +139,20 @@ def _quoted(value) -> str:
     return f"{value!r}D"
 
 
-def preprocessing(train: DataFrame) -> Pipeline:
+def preprocessing(train: DataFrame, hashed: Sequence[str] = ()) -> Pipeline:
     """Median/mode filling, scaling and one-hot coding, with statistics of ``train`` only.
 
-    Text columns with more than ``MAX_CATEGORIES`` values are hashed, since an index of their
-    values would have to fit on the driver. Columns without any value are left out.
+    An index of a text column's values is held on the driver. For columns of free text, whose values grow with the
+    rows, the caller names them in ``hashed``: they go to ``HASHED_FEATURES`` slots. Columns without any value are left out.
     """
     kinds = {c: k for c, k in feature_columns(train.drop(TARGET)).items() if k}
     fills: dict[str, object] = dict(medians(train, [c for c, k in kinds.items() if k == "numeric"]))
     texts = [c for c, k in kinds.items() if k == "text"]
-    sizes = {}
     if texts:
         fills |= {r["column_name"]: r["value"] for r in modes(train, texts).collect()}
-        sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in texts]).first().asDict()
     numeric = [c for c, k in kinds.items() if k == "numeric" and fills.get(c) is not None]
-    coded = [c for c in texts if c in fills and sizes[c] <= MAX_CATEGORIES]
-    hashed = [c for c in texts if c in fills and sizes[c] > MAX_CATEGORIES]
+    coded = [c for c in texts if c in fills and c not in hashed]
+    hashed = [c for c in texts if c in fills and c in hashed]
     filled = [f"coalesce(cast(`{c}` as {'double' if c in numeric else 'string'}), {_quoted(fills[c])}) as `{c}__f`"
               for c in (*numeric, *coded, *hashed)]
     stages = [SQLTransformer(statement=f"select *, {', '.join(filled)} from __THIS__")]
@@ -184,25 +182,28 @@ def delay_probability(c: str = "probability") -> Column:
 
 
 def train_delay_models(
-    ml_claim: DataFrame, size: TrainingSize | None = None, share: float = TEST_SHARE, seed: int = SEED
+    ml_claim: DataFrame, size: TrainingSize | None = None, share: float = TEST_SHARE, seed: int = SEED, hashed: Sequence[str] = ()
 ) -> Trained:
-    """Random forest and boosted trees on the train split, measured on the test split."""
+    """Random forest and boosted trees on the train split, measured on the test split.
+
+    The split, the prepared rows and each scored test set are written once and read from there.
+    """
     size = size or TrainingSize()
     parts = stratified_split(labelled(ml_claim), share=share, seed=seed)
     ids = [c for c in NOT_FEATURES if c != "claim_id"]
-    parts = parts.drop(*ids)
+    parts = stage(parts.drop(*ids), "split")
     train, test = (parts.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     weights = {r[TARGET]: r for r in class_weights(train).collect()}
     if set(weights) != {0, 1}:
         raise ValueError(f"both classes are needed for training, found {sorted(weights)}")
-    prepared = preprocessing(train.drop("claim_id")).fit(train)
+    prepared = preprocessing(train.drop("claim_id"), hashed).fit(train)
 
     def weight(name: str) -> Column:
         return F.when(F.col(TARGET) == 1, weights[1][name]).otherwise(weights[0][name])
 
-    ready = prepared.transform(train).select(
+    ready = stage(prepared.transform(train).select(
         TARGET, "features", weight("balanced_weight").alias("__balanced"), weight("boost_weight").alias("__boost")
-    ).persist()
+    ), "prepared")
     forest = RandomForestClassifier(
         labelCol=TARGET, weightCol="__balanced", numTrees=size.trees, maxDepth=size.tree_depth, seed=seed
     )
@@ -210,16 +211,11 @@ def train_delay_models(
         labelCol=TARGET, weightCol="__boost", maxIter=size.rounds, maxDepth=size.boost_depth, stepSize=size.rate, seed=seed
     )
     models, scored, results = {}, {}, []
-    try:
-        for name, estimator in (("random_forest", forest), ("boosted_trees", boosted)):
-            model = PipelineModel([*prepared.stages, estimator.fit(ready)])
-            result = model.transform(test).select(
-                "claim_id", TARGET, delay_probability().alias("delay_probability"), "prediction", "rawPrediction"
-            )
-            models[name], scored[name] = model, result
-            results.append(model_metrics(result, name))
-    finally:
-        ready.unpersist()
+    for name, estimator in (("random_forest", forest), ("boosted_trees", boosted)):
+        model = PipelineModel([*prepared.stages, estimator.fit(ready)])
+        result = stage(model.transform(test).select("claim_id", TARGET, delay_probability().alias("delay_probability"), "prediction"), "scored")
+        models[name], scored[name] = model, result
+        results.append(model_metrics(result, name))
     metrics = results[0].unionByName(results[1])
     rows = metrics.select("model", "auc").collect()
     return Trained(models, metrics, best_by_auc({r["model"]: r["auc"] for r in rows}), scored)
@@ -295,7 +291,7 @@ def duration_rows(ml_claim: DataFrame, clean_claims: DataFrame) -> DataFrame:
 
 
 def train_duration_model(
-    ml_claim: DataFrame, clean_claims: DataFrame, size: TrainingSize | None = None, seed: int = SEED
+    ml_claim: DataFrame, clean_claims: DataFrame, size: TrainingSize | None = None, seed: int = SEED, hashed: Sequence[str] = ()
 ) -> tuple[PipelineModel, DataFrame] | None:
     """Forest regressor of the handling days of delayed claims; None below 100 rows.
 
@@ -306,9 +302,9 @@ def train_duration_model(
     if rows.limit(MIN_DURATION_ROWS).count() < MIN_DURATION_ROWS:
         return None
     held = split_order(seed=seed) < TEST_SHARE * 2.0**52
-    rows = rows.withColumn("__held", held).drop(*[c for c in NOT_FEATURES if c != "claim_id"])
+    rows = stage(rows.withColumn("__held", held).drop(*[c for c in NOT_FEATURES if c != "claim_id"]), "split")
     train, test = rows.filter(~F.col("__held")).drop("__held"), rows.filter("__held").drop("__held")
-    prepared = preprocessing(train.drop("claim_id", DAYS)).fit(train)
+    prepared = preprocessing(train.drop("claim_id", DAYS), hashed).fit(train)
     forest = RandomForestRegressor(labelCol=DAYS, numTrees=size.trees, maxDepth=size.tree_depth, seed=seed)
     model = PipelineModel([*prepared.stages, forest.fit(prepared.transform(train).select(DAYS, "features"))])
     parts = [regression_metrics(model.transform(d), DAYS, "prediction").withColumn("split", F.lit(s))
@@ -327,11 +323,14 @@ def regression_metrics(scored: DataFrame, label: str, prediction: str) -> DataFr
 
 
 def save_models(trained: Trained, folder: str, duration: PipelineModel | None = None) -> None:
-    """Every model, the best one under its own name, the metrics, and the duration model if any."""
+    """Every model, the best one under its own name, metrics, class reports and confusion matrices of all, and the duration model if any."""
     for name, model in trained.models.items():
         model.write().overwrite().save(f"{folder}/{name}")
     trained.models[trained.best].write().overwrite().save(f"{folder}/delay")
     trained.metrics.write.mode("overwrite").parquet(f"{folder}/metrics")
+    for name, scored in trained.scored.items():
+        classification_report(scored).write.mode("overwrite").parquet(f"{folder}/reports/model={name}")
+        confusion_matrix(scored).write.mode("overwrite").parquet(f"{folder}/matrices/model={name}")
     if duration is not None:
         duration.write().overwrite().save(f"{folder}/duration")
 
