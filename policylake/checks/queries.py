@@ -15,8 +15,8 @@ from ..operators.lookup import lookup
 from ..operators.quality import key_violations, null_nonfinite, rejected_rows, storage_profile
 from ..operators.quantiles import quantiles
 from ..operators.sizes import literal_rows
-from ..plans import build, claims, clients, dashboard, delay_scoring, delay_training, policies, vehicles, warehouse
-from ..plans.bounds import clip_bounds, clip_columns
+from ..plans import build, claims, clients, dashboard, delay_scoring, delay_training, jobs, policies, vehicles, warehouse
+from ..plans.bounds import bounds_table, clip_bounds, clip_columns, read_bounds
 from ..session import scratch_folder, spread, stage, tune
 from ..sources import ingest, tables
 from ..sources.driver_tables import load, raw_table, raw_tables
@@ -775,25 +775,26 @@ def train_duration_model(spark, folder):
     return delay_training.train_duration_model(*_staged_learning(spark, folder))[1]
 
 
+def _stored_zones(spark, folder) -> str:
+    root = scratch_folder(spark, "zones")
+    ml, clean = _staged_learning(spark, folder)
+    tables.write_table(ml, root, "ml.ml_claim", "replace", "claim_id")
+    tables.write_table(clean, root, "stg.clean_claims", "replace", "claim_id")
+    return root
+
+
 @query
 def model_metrics_table(spark, folder):
-    trained = delay_training.train_delay_models(_staged_learning(spark, folder)[0])
     path = scratch_folder(spark, "models")
-    delay_training.save_models(trained, path)
+    jobs.train(spark, _stored_zones(spark, folder), path)
     return spark.read.parquet(f"{path}/metrics")
 
 
 @query
 def score_claims(spark, folder):
-    ml, clean = _staged_learning(spark, folder)
-    trained = delay_training.train_delay_models(ml)
-    duration, _ = delay_training.train_duration_model(ml, clean)
-    path = scratch_folder(spark, "models")
-    delay_training.save_models(trained, path, duration)
-    scored = delay_scoring.score_claims(
-        delay_scoring.checked_active_claims(ml),
-        delay_training.load_delay_model(spark, path), delay_training.load_duration_model(spark, path),
-    )
+    root, path = _stored_zones(spark, folder), scratch_folder(spark, "models")
+    jobs.train(spark, root, path)
+    scored = jobs.score(spark, root, path, scratch_folder(spark, "dashboard"), AS_OF)
     return scored.select("claim_id", "delay_probability", "risk_level", "predicted_delay_days")
 
 
@@ -804,7 +805,9 @@ def predicted_delay_days(spark, folder):
 
 @query
 def dashboard_json(spark, folder):
-    document = dashboard.dashboard_document(_risky(spark, folder), AS_OF)
+    path, scored = scratch_folder(spark, "dashboard"), _risky(spark, folder)
+    dashboard.save_dashboard(scored, path, AS_OF)
+    document = dashboard.read_dashboard(spark, path, scored)
     flat = document.select("summary.*", "risk_distribution", "high_risk_claims", "monthly_projection")
     return flat.select(
         "high_risk_count", "recommended_staff", F.round("estimated_cost_impact", 2).alias("estimated_cost_impact"),
@@ -834,6 +837,9 @@ def stream_score(spark, folder):
     wide = stage(build.wide_claims(clean), "claim_wide")
     limits["ml"] = warehouse.ml_bounds(wide)
     trained = delay_training.train_delay_models(warehouse.ml_claim(wide, limits["ml"]))
+    saved = scratch_folder(spark, "saved_limits")
+    bounds_table(spark, limits).write.parquet(saved)
+    limits = read_bounds(spark.read.parquet(saved))
     arriving = scratch_folder(spark, "arriving_claims")
     source = schema.normalize_headers(raw["claims"])
     source.write.parquet(arriving)

@@ -8,22 +8,47 @@ from pyspark.sql import functions as F
 from .steps import Steps
 from .text import strip
 
+COMPACT = r"^([0-9]{4})([0-9]{2})([0-9]{2})(?=$|[ T])"
 DAY_FIRST = r"^([0-9]{1,2})[.-]([0-9]{1,2})[.-]([0-9]{4})"
+# Years of two digits from 69 on belong to the last century.
+DAY_FIRST_1900 = r"^([0-9]{1,2})[.-]([0-9]{1,2})[.-](69|[7-9][0-9])(?![0-9])"
+DAY_FIRST_2000 = r"^([0-9]{1,2})[.-]([0-9]{1,2})[.-]([0-5][0-9]|6[0-8])(?![0-9])"
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+DAY_AND_NAME = rf"^([0-9]{{1,2}})[ .-]+({'|'.join(MONTHS)})[a-z]*[ .,-]+([0-9]{{4}})"
+NAME_AND_DAY = rf"^({'|'.join(MONTHS)})[a-z]*[ .-]+([0-9]{{1,2}})[ .,-]+([0-9]{{4}})"
 
 
 def parsed_timestamp(dtype: str = "string") -> Steps:
-    """ISO first, then day/month/year, each with an optional time; unreadable becomes null."""
+    """ISO first, then day/month/year, each with an optional time; unreadable becomes null.
+
+    Also read: yyyymmdd, years of two digits, and English month names before or after the day.
+    """
     if dtype == "timestamp_ntz":
         return ()
     if dtype in ("timestamp", "date"):
         return (lambda c: c.cast("timestamp_ntz"),)
     return (
         lambda c: F.replace(strip(c.cast("string")), F.lit("/"), F.lit("-")),
-        lambda c: F.when(_year_first(c), c).otherwise(F.regexp_replace(c, DAY_FIRST, "$3-$2-$1")),
+        lambda c: F.when(_year_first(c), c).otherwise(_reordered(c)),
         lambda c: F.when(_year_first(c), c).try_cast("timestamp_ntz"),
     )
 
 
+def _reordered(c: Column) -> Column:
+    """The other spellings with the year first."""
+    named = F.lower(c)
+    for pattern, order in ((DAY_AND_NAME, "$3-$2-$1"), (NAME_AND_DAY, "$3-$1-$2")):
+        named = F.regexp_replace(named, pattern, order)
+    for number, name in enumerate(MONTHS, 1):
+        named = F.replace(named, F.lit(f"-{name}-"), F.lit(f"-{number:02d}-"))
+    digits = c
+    for pattern, order in (
+        (COMPACT, "$1-$2-$3"), (DAY_FIRST, "$3-$2-$1"), (DAY_FIRST_1900, "19$3-$2-$1"), (DAY_FIRST_2000, "20$3-$2-$1"),
+    ):
+        digits = F.regexp_replace(digits, pattern, order)
+    return F.when(c.rlike("(?i)(" + "|".join(MONTHS) + ")"), named).otherwise(digits)
+
+
 def _year_first(c: Column) -> Column:
     return F.substring(c, 5, 1) == "-"
 

@@ -44,7 +44,7 @@ def clip_columns(df: DataFrame, bounds: Bounds, columns: Iterable[str]) -> DataF
 
 def bounds_table(spark: SparkSession, tables: dict[str, Bounds]) -> DataFrame:
     """Limits as rows (table_name, name, place, value), to be written beside a model."""
-    rows = [(t, n, i, v) for t, b in tables.items() for n, vs in b.items() for i, v in enumerate(vs)]
+    rows = [(t, n, i, None if v is None else float(v)) for t, b in tables.items() for n, vs in b.items() for i, v in enumerate(vs)]
     return spark.createDataFrame(rows, "table_name string, name string, place int, value double")
 
 

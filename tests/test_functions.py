@@ -22,6 +22,10 @@ RULES = [
      ["Refusé", "Clos_avec_indemnisation", "En_cours", "Clôturé", None]),
     ("time", dates.parsed_timestamp(), ["2024-02-01", "01/02/2024", "01/02/2024 10:30", "xx", "31/13/2020", "2024/02/01"],
      [datetime(2024, 2, 1), datetime(2024, 2, 1), datetime(2024, 2, 1, 10, 30), None, None, datetime(2024, 2, 1)]),
+    ("spellings", dates.parsed_timestamp(),
+     ["20240131", "01/02/24", "01.02.69 10:30", "31 Jan 2024", "31-January-2024", "Feb 1, 2024 08:05", "31 Foo 2024", "20241331", "2024", None],
+     [datetime(2024, 1, 31), datetime(2024, 2, 1), datetime(1969, 2, 1, 10, 30), datetime(2024, 1, 31), datetime(2024, 1, 31),
+      datetime(2024, 2, 1, 8, 5), None, None, None, None]),
 ]
 
 

@@ -4,9 +4,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from policylake.plans import build, dashboard, delay_scoring, warehouse
-from policylake.plans.claims import clean_claims, delay_label
-from policylake.plans.delay_training import best_by_auc
+from policylake.plans import build, dashboard, delay_scoring, jobs, warehouse
+from policylake.plans.bounds import bounds_table, read_bounds
+from policylake.plans.claims import DAYS, clean_claims, delay_label
+from policylake.plans.delay_training import TrainingSize, best_by_auc
 from policylake.sources import ingest, tables
 from policylake.sources.driver_tables import raw_tables
 
@@ -123,3 +124,35 @@ def test_dashboard_document(spark):
 def test_best_model_tie_goes_to_the_forest():
     assert best_by_auc({"boosted_trees": 0.7, "random_forest": 0.7}) == "random_forest"
     assert best_by_auc({"boosted_trees": 0.8, "random_forest": 0.7}) == "boosted_trees"
+
+
+def test_train_store_load_and_score(spark, tmp_path):
+    rows = [(f"c{i:04d}", i % 3 == 0, "Ouvert" if i % 2 else "Clos", float(i % 3 + i % 7), "AB"[i % 2], 10.0 * i, float(i % 50)) for i in range(1200)]
+    names = "claim_id string, is_delayed boolean, statut_sinistre_claim string, vehicle_age double, genre string, montant_estime double, claim_duration_days double"
+    ml = spark.createDataFrame(rows, names).withColumn("is_delayed", F.col("is_delayed").cast("int"))
+    clean = ml.select("claim_id", "is_delayed", F.col("claim_duration_days").alias(DAYS))
+    ml = ml.drop("claim_duration_days").withColumn(DAYS, F.lit(None).cast("double"))
+    root, models, report = (str(tmp_path / n) for n in ("zones", "models", "report"))
+    with pytest.raises(FileNotFoundError):
+        jobs.score(spark, root, models, report)
+    tables.write_table(ml, root, "ml.ml_claim", "replace", "claim_id")
+    tables.write_table(clean, root, "stg.clean_claims", "replace", "claim_id")
+    trained = jobs.train(spark, root, models, TrainingSize(trees=3, tree_depth=3, rounds=2, boost_depth=2))
+    scored = jobs.score(spark, root, models, report, date(2024, 1, 20)).collect()
+    assert sorted(r["claim_id"] for r in scored) == [r[0] for r in rows if r[2] == "Ouvert"]
+    assert all(0 <= r["delay_probability"] <= 1 for r in scored)
+    assert all((r["predicted_delay_days"] is None) == (r["delay_probability"] <= 0.5) for r in scored)
+    saved = {r["model"]: r for r in spark.read.parquet(f"{models}/metrics").collect()}
+    for name, test in trained.scored.items():
+        matrix = {(r["label"], r["predicted"]): r["rows"] for r in spark.read.parquet(f"{models}/matrices/model={name}").collect()}
+        right = sum(n for (label, said), n in matrix.items() if label == said)
+        assert sum(matrix.values()) == saved[name]["test_rows"] == test.count()
+        assert abs(right / sum(matrix.values()) - saved[name]["accuracy"]) < 1e-12
+        assert spark.read.parquet(f"{models}/reports/model={name}").agg(F.sum("support")).first()[0] == test.count()
+    document = spark.read.json(report).first()
+    assert document["summary"]["total_active_claims"] == len(scored)
+
+
+def test_saved_limits_come_back(spark):
+    limits = {"claims": {"a": [1.0, 2.5], "b": [None, 3.0]}, "ml": {"a": [0.0]}}
+    assert read_bounds(bounds_table(spark, limits)) == limits
