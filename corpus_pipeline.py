@@ -17,11 +17,29 @@ def few(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def one_of_each_id(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Those of the rows (taken from ``docs``) that are the first of their id by text and the other columns; rows with a null id all stay."""
+    twice = few(docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
+    nth = free_name(docs, "nth")
+    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    one = rows.join(twice, "doc_id", "left_semi").withColumn(nth, F.row_number().over(first)).filter(F.col(nth) == 1).drop(nth)
+    return rows.join(twice, "doc_id", "left_anti").unionByName(one).select(*docs.columns)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; the others go. Rows are told apart by id and text."""
-    keyed = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
-    found = language.identify(keyed, id_col="row_key", declared=F.col("lang"), host=F.col("source"))
-    return keyed.join(few(found.filter("not accepted").select("row_key")), "row_key", "left_anti").drop("row_key").select(*docs.columns)
+    key = free_name(docs, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = language.identify(keyed, id_col=key, declared=F.col("lang"), host=F.col("source"))
+    return keyed.join(few(found.filter("not accepted").select(key)), key, "left_anti").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,10 +54,7 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each group of near copies, that of the smallest id; of rows with one id, the first by text."""
     found = stage(neardup.near_duplicates(docs).select("doc_id", "component_id"), "near-copies")
     kept = docs.join(few(found.filter("doc_id <> component_id").select("doc_id")), "doc_id", "left_anti")
-    twice = few(found.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id"))
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    one = kept.join(twice, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).filter("nth = 1").drop("nth")
-    return kept.join(twice, "doc_id", "left_anti").unionByName(one).select(*docs.columns)
+    return one_of_each_id(kept, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +64,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture: a document's text once for each epoch that takes it, with its place in the order."""
+    """The mixture: a document's text once for each epoch that takes it, with its place in the order; of rows with one id, the first by text."""
+    docs = one_of_each_id(docs, docs)
     taken = mixing.mixture(docs)
     return taken.join(docs.select("doc_id", "text", "lang"), "doc_id").withColumn("weight", F.round("weight", 9))
 
