@@ -2,9 +2,9 @@
 
 The distinct hashes of lines that occur in several documents are dealt to shards. A shard becomes a minimal perfect
 hash (levels of bit arrays; a hash's index is the rank of the first bit it finds set) over three compact arrays: fingerprint,
-number of documents, first document. Lines never meet lines: a document's hashes are looked up in the arrays of their
-shards. A shard's arrays are dealt to several tasks, and documents to these by their id, so a line that stands in a third
-of all documents is looked up in many tasks.
+number of lines, first document. Lines never meet lines: a document's hashes are looked up in the arrays of their
+shards. A shard's arrays go to as many tasks as the lines that ask it fill, and the lines are dealt to these by document and
+place, so a line that stands in a third of all documents is looked up in many tasks of bounded size.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ from ..session import stage
 from .common import SPACES, mixed, texts
 
 KEYS_A_SHARD = 1 << 20
-COPIES = 16
+COPIES = 16  # of a shard at least
+LINES_A_TASK = 1 << 20
 GAMMA = 2.0
 
 
@@ -154,8 +155,13 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shards = max(1, math.ceil(again.count() / KEYS_A_SHARD))
     shard = F.pmod(F.col("hash"), F.lit(shards)).cast("int").alias("shard")
     index = again.select(shard, "hash", "print", "n", "first").groupBy("shard").applyInArrow(build_shard, SHARD)
-    index = stage(index, "line-shards").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
-    asking = lines.select("doc", "place", shard, "hash", "print", F.pmod(F.xxhash64("doc"), F.lit(COPIES)).cast("int").alias("copy"))
+    # One row a shard, which is one for every million repeated lines.
+    copies = lines.groupBy(shard).agg(F.greatest(F.lit(COPIES), F.ceil(F.count(F.lit(1)) / LINES_A_TASK)).cast("int").alias("copies"))
+    copies = stage(copies, "shard-copies")
+    index = stage(index, "line-shards").join(copies, "shard").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    index = index.drop("copies")
+    asking = lines.select("doc", "place", shard, "hash", "print").join(copies, "shard")
+    asking = asking.withColumn("copy", F.pmod(F.xxhash64("doc", "place"), F.col("copies")).cast("int")).drop("copies")
     drops = asking.groupBy("shard", "copy").cogroup(index.groupBy("shard", "copy")).applyInArrow(probe, "doc long, place int")
     drops = drops.groupBy("doc").agg(F.collect_list("place").alias("places"))
 

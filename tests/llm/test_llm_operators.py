@@ -57,7 +57,9 @@ def test_repeated_words(docs, rows, width, rounds):
     assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == want
 
 
-def test_lines(docs, rows):
+@pytest.mark.parametrize("lines_a_task", [4, 1 << 20])
+def test_lines(docs, rows, lines_a_task, monkeypatch):
+    monkeypatch.setattr(lines, "LINES_A_TASK", lines_a_task)
     blank = " \t\n\x0b\x0c\r"
     split = [(r[0], (r[1] or "").split("\n")) for r in rows]
     holders = defaultdict(set)

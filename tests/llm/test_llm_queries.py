@@ -5,6 +5,8 @@ from collections import Counter, defaultdict
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
+
 from policylake.llm import queries
 from policylake.llm.oracle import ORACLE
 
@@ -64,3 +66,18 @@ def test_pipeline(spark, folder):
     mix = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
     assert {r.doc_id for r in mix} <= set(staged["decontamination"])
     assert all(n == 1 for n in Counter((r.doc_id, r.epoch) for r in mix).values())
+
+
+def test_stages_on_odd_rows(spark, folder, docs, no_docs):
+    """Nulls, repeated rows, rows with one id and other texts, clashing names; then no rows at all."""
+    odd = docs.drop("n_chars").withColumn("n_chars", F.char_length("text").cast("long")).withColumns({"row_key": F.lit("x"), "nth": F.lit("y")})
+    odd = odd.unionByName(odd.filter("doc_id = 6").withColumn("text", F.concat(F.lit("another "), "text")))
+    texts = {i: sorted({r.text for r in odd.collect() if r.doc_id == i and r.text}) for i in (6, 7)}
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        out = apply(spark, odd, folder)
+        assert out.columns == odd.columns and out.count() <= odd.count(), name
+        assert apply(spark, no_docs, folder).count() == 0, name
+    mix = corpus_pipeline.mixing_sources(spark, odd, folder).collect()
+    assert all(n == 1 for n in Counter((r.doc_id, r.epoch) for r in mix).values())
+    assert all(r.text == texts[r.doc_id][0] for r in mix if r.doc_id in texts)
+    assert corpus_pipeline.mixing_sources(spark, no_docs, folder).count() == 0
