@@ -395,6 +395,11 @@ def _filled(columns, table):
     return ", ".join(f"coalesce({c}, (select quantile_cont({c}, 0.5) from {table})) as {c}" for c in columns)
 
 
+# A fifth of each class, rounded up, is held out.
+_tested = ("(select cast(sum(n) as bigint) from (select cast(ceil(count(*) / 5.0) as bigint) as n from ml_claim where is_delayed is not null group by is_delayed))")
+_models = "(values ('random_forest'), ('boosted_trees')) m(model)"
+_active = "coalesce(statut_sinistre_claim in ('Ouvert', 'En_cours', 'En_cours_d_expertise'), false)"
+
 SQL: dict[str, str] = {
     "scan_table": "select * from lineitem",
     "ingest_csv_scan": "select * from arriving",
@@ -525,6 +530,12 @@ SQL: dict[str, str] = {
     "training_features": "select cast(is_delayed as int) as is_delayed, type_couverture, marque, income_band, claim_month, sla_jours, vehicle_age from ml_claim where is_delayed is not null",
     "stratified_split": "select claim_id, is_delayed, case when rank() over (partition by is_delayed order by substr(md5(concat(claim_id, '42')), 1, 13)) "
                         "<= ceil(count(*) over (partition by is_delayed) / 5.0) then 'test' else 'train' end as split from scored",
+    "train_delay_models": f"select model, {_tested} as test_rows, {_tested} as scored_rows, true as probabilities_ok, true as figures_ok from {_models}",
+    "train_duration_model": "select case when substr(md5(concat(claim_id, '42')), 1, 13) <= '3333333333333' then 'test' else 'train' end as split, "
+                            "count(*) as rows, true as figures_ok from clean_claims where is_delayed = 1 and duree_traitement_jours is not null group by 1",
+    "model_metrics_table": f"select model, {_tested} as test_rows, {_tested} as matrix_rows, {_tested} as support, true as figures_ok from {_models}",
+    "score_claims": f"select claim_id, true as probability_ok, true as level_ok, true as days_ok from ml_claim where {_active} or not exists (from ml_claim where {_active})",
+    "stream_score": "select claim_id, true as probability_ok, true as level_ok, true as days_ok from clean_claims",
     "predicted_delay_days": "select claim_id, predicted_delay_days from risky",
     "dashboard_json": "select high_risk_count, recommended_staff, round(estimated_cost_impact, 2) as estimated_cost_impact, medium_risk_count as medium, "
                       "(select string_agg(claim_id, ',' order by delay_probability desc, claim_id) from (select claim_id, delay_probability from risky where risk_level = 'High' "
@@ -566,5 +577,5 @@ def _round(name: str, sql: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Query name to SQL; queries that train a model have none."""
+    """Query name to SQL; queries that train a model return what can be told of it without its random choices."""
     return {name: _round(name, sql if sql.startswith("with ") else with_ctes(sql)) for name, sql in SQL.items()}

@@ -765,14 +765,26 @@ def _staged_learning(spark, folder) -> tuple[DataFrame, DataFrame]:
     return warehouse.ml_claim(wide), clean["clean_claims"]
 
 
+def _within_one(*names: str):
+    return F.forall(F.array(*names), lambda x: x.between(0, 1))
+
+
 @query
 def train_delay_models(spark, folder):
-    return delay_training.train_delay_models(_staged_learning(spark, folder)[0]).metrics
+    """Rows each model was tested on, and whether its figures follow from the scores of these rows."""
+    trained = delay_training.train_delay_models(_staged_learning(spark, folder)[0])
+    again = [df.agg(F.avg((F.col("is_delayed") == F.col("prediction")).cast("double")).alias("again"), F.count(F.lit(1)).alias("scored_rows"),
+                    F.min(F.col("delay_probability").between(0, 1)).alias("probabilities_ok")).withColumn("model", F.lit(name))
+             for name, df in trained.scored.items()]
+    both = trained.metrics.join(again[0].unionByName(again[1]), "model")
+    figures = _within_one("accuracy", "auc", "precision_delayed", "recall_delayed") & (F.abs(F.col("accuracy") - F.col("again")) < 1e-9)
+    return both.select("model", F.col("test_rows").cast("bigint").alias("test_rows"), "scored_rows", "probabilities_ok", figures.alias("figures_ok"))
 
 
 @query
 def train_duration_model(spark, folder):
-    return delay_training.train_duration_model(*_staged_learning(spark, folder))[1]
+    found = delay_training.train_duration_model(*_staged_learning(spark, folder))[1]
+    return found.select("split", "rows", ((F.col("mae") >= 0) & (F.col("r2") <= 1)).alias("figures_ok"))
 
 
 def _stored_zones(spark, folder) -> str:
@@ -785,17 +797,30 @@ def _stored_zones(spark, folder) -> str:
 
 @query
 def model_metrics_table(spark, folder):
+    """The stored figures beside the stored matrices and class reports."""
     path = scratch_folder(spark, "models")
     jobs.train(spark, _stored_zones(spark, folder), path)
-    return spark.read.parquet(f"{path}/metrics")
+    cells = spark.read.parquet(f"{path}/matrices").groupBy("model").agg(
+        F.sum("rows").alias("matrix_rows"), F.sum(F.when(F.col("label") == F.col("predicted"), F.col("rows")).otherwise(0)).alias("right")
+    )
+    reports = spark.read.parquet(f"{path}/reports").groupBy("model").agg(F.sum("support").alias("support"))
+    both = spark.read.parquet(f"{path}/metrics").join(cells, "model").join(reports, "model")
+    return both.select("model", F.col("test_rows").cast("bigint").alias("test_rows"), "matrix_rows", "support", (F.abs(F.col("accuracy") - F.col("right") / F.col("matrix_rows")) < 1e-9).alias("figures_ok"))
+
+
+def _scores_checked(scored: DataFrame, days_ok) -> DataFrame:
+    p = F.col("delay_probability")
+    level = F.when(p <= 0.3, "Low").when(p <= 0.7, "Medium").otherwise("High")
+    return scored.select("claim_id", p.between(0, 1).alias("probability_ok"), (F.col("risk_level") == level).alias("level_ok"), days_ok.alias("days_ok"))
 
 
 @query
 def score_claims(spark, folder):
+    """Scored claims, and whether probability, level and days obey their rules: days only above one half."""
     root, path = _stored_zones(spark, folder), scratch_folder(spark, "models")
     jobs.train(spark, root, path)
     scored = jobs.score(spark, root, path, scratch_folder(spark, "dashboard"), AS_OF)
-    return scored.select("claim_id", "delay_probability", "risk_level", "predicted_delay_days")
+    return _scores_checked(scored, F.col("predicted_delay_days").isNotNull() == (F.col("delay_probability") > 0.5))
 
 
 @query
@@ -846,5 +871,5 @@ def stream_score(spark, folder):
     out, state = scratch_folder(spark, "scored"), scratch_folder(spark, "checkpoint")
     stream = spark.readStream.schema(source.schema).parquet(arriving)
     arrivals.score_arrivals(stream, clean, limits, trained.models[trained.best], None, out, state).awaitTermination()
-    scored = spark.read.parquet(out)
-    return scored.select("claim_id", "delay_probability", "risk_level", "predicted_delay_days")
+    late = F.col("delay_probability") > 0.5
+    return _scores_checked(spark.read.parquet(out), F.col("predicted_delay_days") == F.when(late, 30.0).otherwise(0.0))

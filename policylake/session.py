@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -69,13 +72,33 @@ def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
     return df.repartition(cores)
 
 
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove the folders staged inside when the block ends, also by an error; write all results within it."""
+    folders: list[str] = []
+    token = _STAGED.set(folders)
+    try:
+        yield
+    finally:
+        _STAGED.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` once to the scratch folder and read it back.
 
     Cuts the lineage at a Parquet table, so later passes over a few of its columns
-    read just those and a lost executor costs a re-read, not a recomputation.
+    read just those and a lost executor costs a re-read, not a recomputation. Inside ``staging``
+    the folder goes when the block ends, else the caller removes it.
     """
     spark = df.sparkSession
     path = scratch_folder(spark, purpose)
+    if (folders := _STAGED.get()) is not None:
+        folders.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

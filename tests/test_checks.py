@@ -18,8 +18,5 @@ def test_query_equals_sql(spark, folder, name):
     assert compare(queries()[name](spark, folder).toArrow(), con.sql(oracle_sql()[name]).to_arrow_table()) is None
 
 
-def test_only_learning_queries_lack_sql():
-    assert set(QUERIES) - set(oracle_sql()) == {
-        "train_delay_models", "train_duration_model", "model_metrics_table", "score_claims", "stream_score",
-    }
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())

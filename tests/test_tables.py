@@ -1,9 +1,11 @@
 import os
+import uuid
 from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
 
+from policylake import session
 from policylake.plans import build, dashboard, delay_scoring, jobs, warehouse
 from policylake.plans.bounds import bounds_table, read_bounds
 from policylake.plans.claims import DAYS, clean_claims, delay_label
@@ -75,6 +77,14 @@ def test_row_counts_and_keys(outputs):
         assert keys.distinct().count() == counts[name] and keys.filter(F.col(key).isNull()).isEmpty(), name
 
 
+def test_build_leaves_no_staged_folder(spark, folder, tmp_path, monkeypatch):
+    scratch, root = tmp_path / "scratch", str(tmp_path / "zones")
+    monkeypatch.setattr(session, "scratch_folder", lambda spark, purpose: f"{scratch}/{purpose}-{uuid.uuid4().hex}")
+    jobs.build(spark, raw_tables(spark, folder), root, date(2024, 6, 30))
+    assert all(not tables.read_table(spark, root, f"{zone}.{name}").isEmpty() for zone, name, _ in tables.OUTPUT_TABLES)
+    assert os.listdir(scratch) == []
+
+
 def test_dropped_columns(outputs):
     assert not set(warehouse.FACT_DROPPED) & set(outputs["fact_claim"].columns)
     assert not set(warehouse.ML_DROPPED) & set(outputs["ml_claim"].columns)
