@@ -1,8 +1,8 @@
-"""Benchmark passages in training documents: rare word n-grams as seeds, then Smith-Waterman alignment.
+"""Benchmark passages in training documents: word n-grams as seeds, then Smith-Waterman alignment.
 
-Each test item gives all its word n-grams; the rarer half, by the number of documents that hold them, are its seeds, however
-frequent they are, so a passage that stands in a third of the corpus keeps its seeds. A document that holds a seed is
-aligned with the item in the stretch around it; the score is the best local alignment over that of the whole item.
+All word n-grams of a test item are its seeds, however frequent they are, so neither a passage that stands in a third of the corpus nor an edited
+copy beside verbatim ones loses its own. A document that holds a seed is aligned with the item in the stretch around it, unless
+the words they share rule the threshold out; the score is the best local alignment over that of the whole item.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -57,6 +57,15 @@ def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+def most(item: np.ndarray, passage: np.ndarray) -> int:
+    """No local alignment of the two scores more: of either one's words, a stretch counts its words held by the other as matches, the rest as misses."""
+    bounds = []
+    for own, other in ((passage, item), (item, passage)):
+        sums = np.concatenate(([0], np.cumsum(np.where(np.isin(own, other), MATCH, max(MISS, GAP)))))
+        bounds.append(int((sums - np.minimum.accumulate(sums)).max()))
+    return min(bounds)
+
+
 def contaminated(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     gram: int = GRAM, threshold: float = 0.5,
@@ -64,7 +73,7 @@ def contaminated(
     """``(doc_id, item_id, score, end_word)`` of the pairs of document and item whose score is at least ``threshold``.
 
     The score is the best local alignment's over the item's length times the match score; 1 is a whole copy. ``end_word`` is the number of the
-    word of the document after the alignment. Words are compared with A-Z in lower case and without marks at their ends. Items of under ``gram`` words, null and empty
+    word of the document after the alignment. A pair takes part where document and item share at least one run of ``gram`` words. Words are compared with A-Z in lower case and without marks at their ends. Items of under ``gram`` words, null and empty
     texts, and rows with a null id take no part. Rows with one id are one document, the best score of a pair counts. Other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter("doc_id is not null")
@@ -105,14 +114,9 @@ def contaminated(
 
     held = rows.mapInArrow(hits, "doc_id long, place long, seed long").join(seeds.select("seed").distinct(), "seed", "left_semi")
     held = stage(held, "seed-hits")
-    often = held.select("seed", "doc_id").distinct().groupBy("seed").agg(F.count(F.lit(1)).alias("documents"))
-    rarity = Window.partitionBy("item_id").orderBy(F.coalesce("documents", F.lit(0)), "seed")
-    ranked = seeds.groupBy("item_id", "seed").agg(F.collect_list("item_place").alias("item_places")).join(often, "seed", "left")
-    ranked = ranked.withColumn("n", F.row_number().over(rarity)).withColumn("all", F.count(F.lit(1)).over(Window.partitionBy("item_id")))
-    rare = ranked.filter("2 * n <= all + 1").select("item_id", "seed", "item_places")
 
     # Where an item would begin, by document and item.
-    begins = held.join(rare, "seed").select("doc_id", "item_id", F.explode("item_places").alias("p"), "place")
+    begins = held.join(seeds, "seed").select("doc_id", "item_id", F.col("item_place").alias("p"), "place")
     begins = begins.select("doc_id", "item_id", (F.col("place") - F.col("p")).alias("begin")).distinct()
     wanted = begins.groupBy("doc_id", "item_id").agg(F.sort_array(F.collect_list("begin")).alias("begins"))
     wanted = wanted.join(tests.select("item_id", "words"), "item_id")
@@ -128,7 +132,9 @@ def contaminated(
                 words = words_of(text)
                 for pair in pairs:
                     item = np.array(pair["words"], np.int64).view(np.uint64)
-                    slack = 8 + len(item) // 2
+                    least = threshold * MATCH * len(item)
+                    # An alignment that scores enough has at most so many words of the document beside the matches.
+                    slack = max(8 + len(item) // 2, int(max(MATCH * len(item) - least, 0) / -max(MISS, GAP)) + 1)
                     best, end, last = 0, 0, None
                     stretches: list[list[int]] = []
                     for begin in pair["begins"]:  # sorted: overlapping stretches become one
@@ -139,6 +145,8 @@ def contaminated(
                             stretches.append([a, b])
                         last = b
                     for a, b in stretches:
+                        if most(item, words[a:b]) < max(least, best + 1):
+                            continue
                         got, at = align(item, words[a:b])
                         if got > best:
                             best, end = got, a + at

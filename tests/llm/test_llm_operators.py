@@ -220,6 +220,33 @@ def test_alignment():
         assert contamination.align(a, b)[0] == smith_waterman(a.tolist(), b.tolist())
 
 
+def test_edited_copies_beside_verbatim_ones(spark):
+    """All pairs against Smith-Waterman, with copies edited at every 4th to 7th word, stretched and cut, next to none, one or five verbatim ones."""
+    rng = random.Random(6)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    noise = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    kinds = [(step, copies) for step in range(3, 8) for copies in (0, 1, 5)]  # 3: two words more after each third one
+    items, texts = [noise(42) for _ in kinds], [noise(60) for _ in range(4)]
+    for k, (item, (step, copies)) in enumerate(zip(items, kinds)):
+        if step == 3:
+            edited = [x for n, w in enumerate(item) for x in ([w, "more", "words"] if n % 3 == 2 else [w])]
+        else:
+            edited = [f"new{k}x{n}" if n % step == step - 1 else w for n, w in enumerate(item)]
+        texts += [noise(20) + edited + noise(20), *[noise(9) + item + noise(5)] * copies, noise(9) + item[: 10 + 2 * k] + noise(9)]
+    table = spark.createDataFrame([(n, " ".join(t)) for n, t in enumerate(texts)], "doc_id long, text string")
+    tests = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    want = {(n, k): smith_waterman(i, t) / 84 for n, t in enumerate(texts) for k, i in enumerate(items)}
+    got = {(r.doc_id, r.item_id): r.score for r in contamination.contaminated(table, tests).collect()}
+    assert got == {pair: score for pair, score in want.items() if score >= 0.5}
+
+
+def test_bound_of_alignment():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        a, b = (rng.integers(0, 9, n).astype(np.uint64) for n in rng.integers(1, 25, 2))
+        assert contamination.align(a, b)[0] <= contamination.most(a, b)
+
+
 PAGE = """<html><head><title>t</title><style>p{{}}</style></head><body><header>Site</header><nav><a>menu</a></nav><div class="ad-box">buy</div>
 <div id=content><h1>{0}</h1><p>First &amp; {0}<p>Second\n  part {1}<br>after {0}</p><div class="x">Read our terms</div></div>
 <div class="comments"><p>nice</p></div><form>f</form><script>var a = "<p>no</p>";</script><aside>s</aside><footer>end</footer></body></html>"""
