@@ -262,6 +262,32 @@ def test_pages(spark):
     assert got[20] == "H\nAB c" and got[21] == "" and got[22] == "" and got[23] == "plain <text>" and got[None] == "m"
 
 
+def prose(rng, n):
+    return " ".join(f"w{rng.randint(0, 5000)}" for _ in range(n))
+
+
+def test_template_of_pages_that_are_mostly_boilerplate():
+    rng = random.Random(7)
+    page = lambda own: "<body>" + "".join(f"<div class=b{k}>Fixed {k}</div>" for k in range(5)) + own + "".join(f"<div class=c{k}>Fixed {k}</div>" for k in range(5))
+    own = [[prose(rng, 20) for _ in range(6)] for _ in range(7)] + [[prose(rng, 20)]]
+    html = [page("".join(f"<p>{t}</p>" for t in o)) for o in own[::-1]][::-1]
+    for order in (html, html[::-1]):
+        template = set(pages.induce(order))
+        assert len(template) == 10
+        assert [pages.main_text(h, template) for h in html] == ["\n".join(o) for o in own]
+
+
+def test_edited_copies_are_no_template():
+    rng = random.Random(8)
+    story = [prose(rng, 30) for _ in range(8)]
+    edited = [[f"{t} more{k}" if n == k else t for n, t in enumerate(story)] for k in range(6)]
+    others = [[prose(rng, 30) for _ in range(3)] for _ in range(2)]
+    for own in (edited, edited + others):
+        html = ["<body><div class=m>Fixed</div>" + "".join(f"<p>{t}</p>" for t in o) for o in own]
+        template = set(pages.induce(html))
+        assert all(t in pages.main_text(h, template) for h, o in zip(html, own) for t in o)
+
+
 def test_empty_tables(spark, no_docs):
     items = spark.createDataFrame([], "item_id long, text string")
     labels = spark.createDataFrame([], "doc_id long, quality int")
