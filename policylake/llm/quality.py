@@ -20,6 +20,7 @@ from .common import texts
 
 FIT_ROWS = 20_000
 BINS = 64
+CHUNK = 1 << 20
 
 FEATURES = (
     "bytes", "words", "word_length", "distinct_words", "top_word", "lines", "line_length", "distinct_lines", "upper", "digit", "space",
@@ -41,6 +42,12 @@ def classes() -> np.ndarray:
 BYTE_CLASS = classes()
 
 
+def squeezed(text: bytes) -> int:
+    """Compressed size of a whole text, of which a chunk at a time is held in compressed form."""
+    packer = zlib.compressobj(1)
+    return sum(len(packer.compress(text[k : k + CHUNK])) for k in range(0, len(text), CHUNK)) + len(packer.flush())
+
+
 def statistics(text: bytes) -> list[float]:
     """One row of FEATURES; zeros for an empty text."""
     words = text.split()
@@ -56,12 +63,11 @@ def statistics(text: bytes) -> list[float]:
         counts[w] = counts.get(w, 0) + 1
     lines = text.split(b"\n")
     pairs = len(set(zip(words, words[1:]))) / max(m - 1, 1)
-    head = text[: 1 << 15]
     return [
         np.log1p(n), np.log1p(m), lengths.mean(), len(counts) / m, max(counts.values()) / m, np.log1p(len(lines)), np.log1p(n / len(lines)), len(set(lines)) / len(lines),
         kinds[1], kinds[2], kinds[3], kinds[4], kinds[5], kinds[6], kinds[7], kinds[8], kinds[9], float(-(shares * np.log2(shares)).sum()),
         float((lengths <= 3).mean()), float((lengths >= 12).mean()), sum(65 <= w[0] <= 90 for w in words) / m, pairs,
-        len(zlib.compress(head, 1)) / len(head), sum(a == b for a, b in zip(words, words[1:])) / max(m - 1, 1),
+        squeezed(text) / n, sum(a == b for a, b in zip(words, words[1:])) / max(m - 1, 1),
     ]
 
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -175,6 +176,15 @@ def test_quality(spark):
     assert 60 < len(held) < 140 and all(r.predicted == int(r.doc_id % 3 > 0) for r in held)
 
 
+def test_statistics_are_of_whole_texts():
+    own, junk = prose(random.Random(3), 8000).encode(), b"buy now " * 400_000
+    at = quality.FEATURES.index("squeezed")
+    alone, mixed = quality.statistics(own)[at], quality.statistics(own + junk)[at]
+    assert alone == len(zlib.compress(own, 1)) / len(own) and len(own) > 1 << 15
+    assert abs(mixed - len(zlib.compress(own + junk, 1)) / len(own + junk)) < 1e-4 and mixed < 0.1 * alone
+    assert quality.statistics(junk + own)[at] < 0.1 * alone
+
+
 def test_language(spark):
     rng = random.Random(2)
     letters = {"aa": "abcde", "bb": "vwxyz"}
