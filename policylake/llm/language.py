@@ -2,7 +2,7 @@
 
 Four kinds of evidence meet in one posterior: the likelihood of the text's letter trigrams under each language, the language
 that the markup or the row declares, the suffix of the address, and the languages of the host, smoothed towards its
-domain and the whole corpus. Trigram counts come from a bounded sample of rows with a declared language; all other
+domain and the whole corpus. Trigram counts come from a bounded sample of the distinct texts of each declared language; all other
 tables are grouped sums of the text posteriors over every row. A further class, ``und``, takes what no language explains better than
 chance.
 """
@@ -21,10 +21,12 @@ from .common import texts
 
 GRAMS = 1 << 16
 FIT_ROWS = 20_000
+LEAST_TEXTS = 10
 UNKNOWN = "und"
 TEMPERATURE = 0.25  # overlapping trigrams are not independent
 HOST_STRENGTH = 20.0
 CHUNK = 4 << 20
+SHARES = 1 << 40
 
 _letters = bytearray(range(256))
 for _b in range(128):
@@ -60,10 +62,18 @@ def primary(column: Column) -> Column:
 
 
 def gram_counts(docs: DataFrame, fit_rows: int) -> dict[str, np.ndarray]:
-    """Trigram counts by declared language, from about ``fit_rows`` rows chosen by a hash of their text."""
-    total = docs.count()
-    share = min(1.0, fit_rows / max(total, 1))
-    fit = docs.filter("declared is not null").filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+    """Trigram counts of every declared language of at least LEAST_TEXTS distinct texts, from about ``fit_rows`` texts in all, and as many
+    of each language as of any other that has them; they are chosen by a hash, and a text counts once however often it is copied."""
+    said = docs.filter("declared is not null").withColumn("h", F.xxhash64("text"))
+    sizes = said.select("declared", "h").distinct().groupBy("declared").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_TEXTS).collect()
+    quota, spare, left = LEAST_TEXTS, fit_rows, len(sizes)
+    for n in sorted(r["n"] for r in sizes):  # what small languages leave goes to larger ones
+        quota = max(LEAST_TEXTS, spare // left)
+        if n > quota:
+            break
+        spare, left = spare - n, left - 1
+    cuts = docs.sparkSession.createDataFrame([(r["declared"], min(SHARES, int(quota / r["n"] * SHARES) + 1)) for r in sizes], "declared string, below long")
+    fit = said.join(F.broadcast(cuts), "declared").filter(F.pmod("h", F.lit(SHARES)) < F.col("below")).select("declared", "h", "text").dropDuplicates(["declared", "h"])
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -78,13 +88,11 @@ def gram_counts(docs: DataFrame, fit_rows: int) -> dict[str, np.ndarray]:
             at = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["language", "gram", "n"])
 
-    # At most languages x 2**16 rows; a language needs a five-hundredth of all trigrams.
+    # At most languages x 2**16 rows.
     counted = stage(fit.mapInArrow(count, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n")), "grams")
-    sizes = counted.groupBy("language").agg(F.sum("n").alias("all"))
-    every = sizes.agg(F.sum("all")).first()[0] or 0
-    known = sorted(r["language"] for r in sizes.filter(F.col("all") * 500 >= every).collect())
+    known = sorted(r["language"] for r in counted.select("language").distinct().collect())
     out = {language: np.zeros(GRAMS) for language in known}
-    for r in counted.filter(F.col("language").isin(known)).collect():
+    for r in counted.collect():
         out[r["language"]][r["gram"]] = r["n"]
     return out
 
@@ -108,8 +116,8 @@ def identify(
 
     ``declared`` is a language tag (``fr-CA`` counts as ``fr``), ``host``, ``domain`` and ``suffix`` parts of an address; all may be absent or null.
     A row is accepted unless its best class is ``und`` (no letters, or letters that no language explains better than chance) or no
-    class reaches ``least_probability``. A null or empty text is ``und``. Repeated rows get equal answers. If no row declares a language,
-    everything is ``und``. Other columns are not read.
+    class reaches ``least_probability``. A null or empty text is ``und``. Repeated rows get equal answers. Languages are those
+    that at least LEAST_TEXTS distinct texts declare; if there are none, everything is ``und``. Other columns are not read.
     """
     null = F.lit(None).cast("string")
     part = lambda c: F.lower(c.cast("string")) if c is not None else null

@@ -199,6 +199,19 @@ def test_language(spark):
     assert all(got[k].language == "und" and not got[k].accepted for k in (500, 501, 502)) and got[None].language == "aa"
 
 
+def test_rare_language_beside_a_text_copied_everywhere(spark):
+    rng = random.Random(12)
+    text = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(5)) for _ in range(40))
+    copied = text("vwxyz") * 20
+    rows = [(k, copied, "bb") for k in range(3000)] + [(3000 + k, text("abcde"), "aa") for k in range(300)]
+    rows += [(4000 + k, text("абвгд"), "cc") for k in range(12)] + [(5000 + k, text("vwxyz"), "bb") for k in range(300)] + [(6000, text("абвгд"), None), (6001, text("klmno"), "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for fit_rows in (60, 20_000):
+        got = {r.doc_id: r for r in language.identify(docs, declared=F.col("lang"), fit_rows=fit_rows).collect()}
+        assert all(got[k].language == want and got[k].accepted for k, _, want in rows if k < 6000)
+        assert got[6000].language == "cc" and got[6000].accepted and got[6001].language == "und"
+
+
 def test_contamination(spark, docs):
     rng = random.Random(4)
     vocabulary = [f"v{k}" for k in range(500)]
