@@ -300,6 +300,20 @@ def test_template_of_pages_that_are_mostly_boilerplate():
         assert [pages.main_text(h, template) for h in html] == ["\n".join(o) for o in own]
 
 
+def test_region_holds_most_of_the_text():
+    rng = random.Random(10)
+    one, two, three = (prose(rng, n) for n in (60, 50, 30))
+    card = "<article class=c><p>A card</p></article>"
+    read = lambda body: pages.main_text(f"<body>{body}</body>", set()).split("\n")
+    assert read(f"<div><p>{one}</p><p>{two}</p></div>{card}") == [one, two, "A card"]
+    assert read(f"<main><p>{one}</p><p>{two}</p></main><div>{card}</div>") == [one, two]
+    assert read(f"<main></main><p>{one}</p>") == [one]
+    assert read(f"<article><h1>T</h1><div itemprop=articleBody><p>{one}</p></div></article>") == ["T", one]
+    assert read(f"<div><article><p>{one}</p></article><article><p>{three}</p></article></div>{card}<p>x</p>") == [one, three]
+    assert read(f"<article><p>{one}</p></article><article class=n><p>{two}</p></article><article><p>{three}</p></article>x") == [one, two, three]
+    assert read(f"<article><h1>T</h1><p>{one}</p></article>{card}<p>rest</p>") == ["T", one]
+
+
 def test_edited_copies_are_no_template():
     rng = random.Random(8)
     story = [prose(rng, 30) for _ in range(8)]
