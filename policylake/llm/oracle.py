@@ -79,4 +79,49 @@ select doc_id, source, n_tokens, epoch, block, block_rank, rank_in_block, round(
 from passed where passed < goal
 """
 
-ORACLE = {"op2_line_dedup": LINES_SQL, "op4_mixing": MIX_SQL}
+NEGATIVES_SQL = """
+with v as (
+  select row_number() over () as uid, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = len(embedding)),
+scored as (
+  select a.uid as anchor, a.vec_id as anchor_id, a.label as own, b.vec_id, b.label, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.uid <> b.uid and len(a.q) = len(b.q)
+  where a.vec_id % 100 = 0),
+positives as (
+  select anchor, anchor_id, own, vec_id as positive_id, score as positive_score
+  from scored where label = own
+  qualify row_number() over (partition by anchor order by score desc, vec_id nulls last) <= 5)
+select p.anchor_id, p.positive_id, n.vec_id as negative_id, p.positive_score, n.score as negative_score,
+       (row_number() over (partition by p.anchor, p.positive_id, p.positive_score order by n.score desc, n.vec_id nulls last))::int as rank
+from positives p join scored n
+  on n.anchor = p.anchor and n.label <> p.own and 80 * p.positive_score <= 100 * n.score and n.score <= p.positive_score
+qualify rank <= 5
+"""
+
+COMPONENTS = "list_transform(embedding, lambda x: floor(256 * x::double)::bigint)"
+LLOYD_SQL = f"""
+with v as materialized (
+  select row_number() over () as uid, vec_id, {COMPONENTS} as q
+  from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda x: x is not null and isfinite(x))) = 64),
+x as materialized (select uid, unnest(range(64)) as d, unnest(q) as c from v),
+starts as (select uid, row_number() over (order by sha256('2:' || vec_id), q) - 1 as k from v qualify k < 40),
+c0 as materialized (select s.k, x.d, x.c from starts s join x using (uid)),
+""" + ",\n".join(f"""a{r} as materialized (
+  select uid, min_by(k, s * 64 + k) as k, min(s) as s
+  from (select x.uid, c.k, sum((x.c - c.c) * (x.c - c.c))::bigint as s from x join c{r} c using (d) group by all) group by uid)""" + (f""",
+c{r + 1} as materialized (
+  select o.k, o.d, coalesce(n.c, o.c) as c
+  from c{r} o left join (
+    select a.k, x.d, (sum(x.c) - ((sum(x.c) % count(*)) + count(*)) % count(*)) // count(*) as c
+    from x join a{r} a using (uid) group by all) n using (k, d))""" if r < 5 else "") for r in range(6)) + """,
+names as (select k, sha256(string_agg(c::bigint, ',' order by d)) as centroid_sha256 from c5 group by k),
+sums as (select k, sum(s)::bigint as cluster_inertia from a5 group by k)
+select v.vec_id, a5.k::int as cluster, a5.s as distance, sums.cluster_inertia, (select sum(s)::bigint from a5) as inertia, names.centroid_sha256
+from a5 join v using (uid) join names using (k) join sums using (k)
+"""
+
+ORACLE = {"op11_hard_negatives": NEGATIVES_SQL, "op12_centroids": LLOYD_SQL, "op2_line_dedup": LINES_SQL, "op4_mixing": MIX_SQL}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, language, lines, mixing, neardup, neighbours, pages, quality, recompression, suffixes
+from . import centroids, contamination, fingerprints, hard_negatives, language, lines, mixing, neardup, neighbours, pages, quality, recompression, suffixes
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -73,7 +73,24 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    out = fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+    return out.select(
+        "doc_id", "n_chars", "edited_sha256", fingerprints.printed(F.col("places"), F.col("hashes")).alias("fingerprint"),
+        fingerprints.printed(F.col("edited_places"), F.col("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 QUERIES = {f.__name__: f for f in (
     op1_language_id, op2_line_dedup, op3_minhash, op4_mixing, op5_suffix_dedup, op6_html, op7_ann, op8_quality, op9_substring_dedup,
-    op10_decontamination, page_languages,
+    op10_decontamination, op11_hard_negatives, op12_centroids, op13_fingerprints, page_languages,
 )}
