@@ -726,8 +726,7 @@ def dim_time(spark, folder):
 
 
 def _staged_clean(spark, folder) -> dict[str, DataFrame]:
-    clean = build.clean_tables(raw_tables(spark, folder), as_of=AS_OF, order_by=ORDER)
-    return {n: stage(df, n) for n, df in clean.items()}
+    return build.clean_tables(raw_tables(spark, folder), as_of=AS_OF, order_by=ORDER, staged=True)
 
 
 def _wide(spark, folder) -> DataFrame:
@@ -816,11 +815,13 @@ def _scores_checked(scored: DataFrame, days_ok) -> DataFrame:
 
 @query
 def score_claims(spark, folder):
-    """Scored claims, and whether probability, level and days obey their rules: days only above one half."""
+    """Scored claims, and whether probability, level and days obey their rules: days only above one half, none known below it unless no claim is above."""
     root, path = _stored_zones(spark, folder), scratch_folder(spark, "models")
     jobs.train(spark, root, path)
     scored = jobs.score(spark, root, path, scratch_folder(spark, "dashboard"), AS_OF)
-    return _scores_checked(scored, F.col("predicted_delay_days").isNotNull() == (F.col("delay_probability") > 0.5))
+    late, days = F.col("delay_probability") > 0.5, F.col("predicted_delay_days")
+    some_late = F.coalesce(scored.agg(F.max(late).alias("late")).scalar(), F.lit(False))
+    return _scores_checked(scored, F.when(late, days.isNotNull()).when(some_late, days.isNull()).otherwise(F.coalesce(days == 0, F.lit(False))))
 
 
 @query

@@ -8,25 +8,26 @@ from datetime import date
 from pyspark.sql import DataFrame
 
 from ..operators.quality import null_nonfinite
-from ..session import stage
-from .bounds import Bounds
+from ..session import concurrently, stage
+from .bounds import Bounds, learned
 from .claims import claim_bounds, clean_claims, parse_claims
 from .clients import clean_clients, client_bounds, parse_clients
 from .policies import clean_policies, parse_policies, policy_bounds
 from .vehicles import clean_vehicles, parse_vehicles, vehicle_bounds
-from .warehouse import claim_wide, dim_client, dim_policy, dim_time, dim_vehicle, fact_bounds, fact_claim, ml_bounds, ml_claim
+from .warehouse import claim_wide, dim_client, dim_policy, dim_time, dim_vehicle, fact_claim, ml_claim, wide_bounds
 
 RAW_NAMES = ("clients", "policies", "vehicles", "claims")
 
 
 def learn_bounds(raw: Mapping[str, DataFrame], as_of: date | None = None) -> dict[str, Bounds]:
-    """Limits of the four clean tables, each from a few passes over the columns concerned."""
-    return {
-        "clients": client_bounds(parse_clients(raw["clients"])),
-        "policies": policy_bounds(parse_policies(raw["policies"])),
-        "vehicles": vehicle_bounds(parse_vehicles(raw["vehicles"], as_of)),
-        "claims": claim_bounds(parse_claims(raw["claims"])),
-    }
+    """Limits of the four clean tables, each from a few passes over its typed rows."""
+    spark = raw["clients"].sparkSession
+    return concurrently(spark, {
+        "clients": lambda: learned(parse_clients(raw["clients"]), client_bounds, None, "clients")[1],
+        "policies": lambda: learned(parse_policies(raw["policies"]), policy_bounds, None, "policies")[1],
+        "vehicles": lambda: learned(parse_vehicles(raw["vehicles"], as_of), vehicle_bounds, None, "vehicles")[1],
+        "claims": lambda: learned(parse_claims(raw["claims"]), claim_bounds, None, "claims")[1],
+    })
 
 
 def clean_tables(
@@ -34,16 +35,20 @@ def clean_tables(
     bounds: Mapping[str, Bounds] | None = None,
     as_of: date | None = None,
     order_by: Mapping[str, Sequence[str]] | None = None,
+    staged: bool = False,
 ) -> dict[str, DataFrame]:
+    """The four clean tables, built side by side; without given ``bounds`` each learns its own. ``staged`` also writes them for several readers."""
+    spark = raw["clients"].sparkSession
     raw = {n: null_nonfinite(df) for n, df in raw.items()}
-    bounds = learn_bounds(raw, as_of) if bounds is None else bounds
+    limits = dict.fromkeys(RAW_NAMES) if bounds is None else bounds
     order = {n: tuple((order_by or {}).get(n, ())) for n in RAW_NAMES}
-    return {
-        "clean_clients": clean_clients(raw["clients"], bounds["clients"], order["clients"]),
-        "clean_policies": clean_policies(raw["policies"], bounds["policies"], order["policies"]),
-        "clean_vehicles": clean_vehicles(raw["vehicles"], bounds["vehicles"], as_of, order["vehicles"]),
-        "clean_claims": clean_claims(raw["claims"], bounds["claims"], order["claims"]),
+    built = {
+        "clean_clients": lambda: clean_clients(raw["clients"], limits["clients"], order["clients"]),
+        "clean_policies": lambda: clean_policies(raw["policies"], limits["policies"], order["policies"]),
+        "clean_vehicles": lambda: clean_vehicles(raw["vehicles"], limits["vehicles"], as_of, order["vehicles"]),
+        "clean_claims": lambda: clean_claims(raw["claims"], limits["claims"], order["claims"]),
     }
+    return concurrently(spark, {n: (lambda f=f, n=n: stage(f(), n)) if staged else f for n, f in built.items()})
 
 
 def wide_claims(clean: Mapping[str, DataFrame]) -> DataFrame:
@@ -60,14 +65,15 @@ def build_outputs(
     The clean tables and the wide claims are each read several times, so they are staged as
     Parquet: the de-duplication and the three lookups then run once for all outputs.
     """
-    clean = {n: stage(df, n) for n, df in clean_tables(raw, as_of=as_of, order_by=order_by).items()}
+    clean = clean_tables(raw, as_of=as_of, order_by=order_by, staged=True)
     wide = stage(wide_claims(clean), "claim_wide")
+    limits = wide_bounds(wide)
     return {
         **clean,
         "dim_client": dim_client(clean["clean_clients"], unique=True),
         "dim_policy": dim_policy(clean["clean_policies"], unique=True),
         "dim_vehicle": dim_vehicle(clean["clean_vehicles"], unique=True),
         "dim_time": dim_time(clean["clean_policies"], clean["clean_claims"]),
-        "fact_claim": fact_claim(wide, fact_bounds(wide)),
-        "ml_claim": ml_claim(wide, ml_bounds(wide)),
+        "fact_claim": fact_claim(wide, limits),
+        "ml_claim": ml_claim(wide, limits),
     }

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import bands, dates, numbers, text
 from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
-from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, normalize_headers, require_column, with_optional
-from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns, narrowed
+from .bounds import Bounds, clip_bounds, clip_columns, learned
 
 KEYS = ("claim_id", "contract_id", "client_id", "vehicle_id")
 OPENED, CLOSED = "date_sinistre_claim", "date_cloture_claim"
@@ -77,15 +76,9 @@ def _with_features(parsed: DataFrame, bounds: Bounds) -> DataFrame:
 
 
 def claim_bounds(parsed: DataFrame) -> Bounds:
-    parsed = narrowed(parsed, AMOUNTS)
-    bounds = clip_bounds(parsed, AMOUNTS)
+    bounds = clip_bounds(parsed, AMOUNTS, {"claim_severity_bucket": (PAYOUT, bands.SEVERITY_QUANTILES)})
     df = _with_features(parsed, bounds)
-    second = {}
-    if PAYOUT in df.columns:
-        second["claim_severity_bucket"] = (F.col(PAYOUT), bands.SEVERITY_QUANTILES)
-    if "claim_gap_ratio" in df.columns:
-        second["claim_gap_ratio"] = (F.col("claim_gap_ratio"), CLIP_QUANTILES)
-    return bounds | quantiles(df, second)
+    return bounds | (clip_bounds(df, ["claim_gap_ratio"]) if "claim_gap_ratio" in df.columns else {})
 
 
 def clean_claims(
@@ -95,8 +88,7 @@ def clean_claims(
     unknown_label: int | None = 0,
 ) -> DataFrame:
     """One row per claim with capped amounts, durations, delay label, gap and severity."""
-    df = parse_claims(raw)
-    bounds = claim_bounds(df) if bounds is None else bounds
+    df, bounds = learned(parse_claims(raw), claim_bounds, bounds, "claims")
     if "is_delayed" not in df.columns:
         df = df.withColumn("is_delayed", delay_label(unknown_label))
     df = clip_columns(_with_features(df, bounds), bounds, ["claim_gap_ratio"])

@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import bands, numbers, text
 from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
-from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, keep_columns, normalize_headers, require_column
-from .bounds import Bounds, clip_bounds, clip_columns, clipped, narrowed
+from .bounds import Bounds, clip_bounds, clip_columns, learned
 
 # Columns of the table, by how they are read.
 NAMES = ("nom", "prenom", "gouvernorat", "ville", "niveau_professionnel")
@@ -66,18 +65,12 @@ def parse_clients(raw: DataFrame) -> DataFrame:
 
 
 def client_bounds(parsed: DataFrame) -> Bounds:
-    parsed = narrowed(parsed, CLIPPED)
-    bounds = clip_bounds(parsed, CLIPPED)
-    if "revenu_annuel" in parsed.columns:
-        income = {"income_band": (clipped(bounds, "revenu_annuel"), bands.QUINTILES)}
-        bounds |= quantiles(parsed, income)
-    return bounds
+    return clip_bounds(parsed, CLIPPED, {"income_band": ("revenu_annuel", bands.QUINTILES)})
 
 
 def clean_clients(raw: DataFrame, bounds: Bounds | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per client with capped numbers, bands and scores."""
-    df = parse_clients(raw)
-    bounds = client_bounds(df) if bounds is None else bounds
+    df, bounds = learned(parse_clients(raw), client_bounds, bounds, "clients")
     df = clip_columns(df, bounds, CLIPPED)
     here = df.columns
     derived = {}

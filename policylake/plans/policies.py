@@ -11,7 +11,7 @@ from ..functions import bands, dates, numbers, text
 from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
 from ..operators.schema import column_types, normalize_headers, require_column, with_optional
-from .bounds import Bounds, clip_bounds, clip_columns, narrowed
+from .bounds import Bounds, clip_bounds, clip_columns, learned
 
 DATES = ("date_debut_contrat", "date_fin_contrat")
 CLIPPED = ("prime_assurance_annuelle", "delai_souscription_sinistre_jours")
@@ -37,14 +37,12 @@ def parse_policies(raw: DataFrame) -> DataFrame:
 
 
 def policy_bounds(parsed: DataFrame) -> Bounds:
-    parsed = narrowed(parsed, CLIPPED)
     return clip_bounds(parsed, CLIPPED)
 
 
 def clean_policies(raw: DataFrame, bounds: Bounds | None = None, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per contract with capped numbers, duration and tenure."""
-    df = parse_policies(raw)
-    bounds = policy_bounds(df) if bounds is None else bounds
+    df, bounds = learned(parse_policies(raw), policy_bounds, bounds, "policies")
     df = clip_columns(df, bounds, CLIPPED)
     df = df.withColumn("policy_duration_days", dates.elapsed_days(F.col(DATES[0]), F.col(DATES[1])))
     df = apply_steps(df, {"policy_duration_days": [numbers.within(0)]})

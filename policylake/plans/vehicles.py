@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from ..functions import bands, numbers, text
 from ..functions.steps import apply_steps
 from ..operators.dedupe import keep_first
-from ..operators.quantiles import quantiles
 from ..operators.schema import column_types, normalize_headers, require_column
-from .bounds import CLIP_QUANTILES, Bounds, clip_bounds, clip_columns, narrowed
+from .bounds import Bounds, clip_bounds, clip_columns, learned
 
 # Plausible ranges.
 FIRST_YEAR = 1970
@@ -57,20 +56,15 @@ def _with_km_per_year(parsed: DataFrame, bounds: Bounds) -> DataFrame:
 
 
 def vehicle_bounds(parsed: DataFrame) -> Bounds:
-    parsed = narrowed(parsed, [*RANGES, "vehicle_age"])
-    bounds = clip_bounds(parsed, RANGES)
-    second = {"mileage_per_year": (F.col("mileage_per_year"), CLIP_QUANTILES)}
-    if "valeur_vehicule" in parsed.columns:
-        second["vehicle_value_band"] = (F.col("valeur_vehicule"), bands.QUINTILES)
-    return bounds | quantiles(_with_km_per_year(parsed, bounds), second)
+    bounds = clip_bounds(parsed, RANGES, {"vehicle_value_band": ("valeur_vehicule", bands.QUINTILES)})
+    return bounds | clip_bounds(_with_km_per_year(parsed, bounds), ["mileage_per_year"])
 
 
 def clean_vehicles(
     raw: DataFrame, bounds: Bounds | None = None, as_of: date | None = None, order_by: Sequence[str] = ()
 ) -> DataFrame:
     """One row per vehicle with capped numbers, yearly distance and value band."""
-    df = parse_vehicles(raw, as_of)
-    bounds = vehicle_bounds(df) if bounds is None else bounds
+    df, bounds = learned(parse_vehicles(raw, as_of), vehicle_bounds, bounds, "vehicles")
     df = clip_columns(_with_km_per_year(df, bounds), bounds, ["mileage_per_year"])
     if "valeur_vehicule" in df.columns:
         value_band = bands.band(F.col("valeur_vehicule"), bounds["vehicle_value_band"], bands.QUINTILE_LABELS)

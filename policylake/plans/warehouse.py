@@ -170,10 +170,20 @@ def _attach(have: dict[str, Column], wide: DataFrame, names: Sequence[str], pref
     return out
 
 
+RATIOS = {
+    "loss_ratio": (PAYOUT, POLICY + "prime_assurance_annuelle"),
+    "premium_to_value_ratio": (POLICY + "prime_assurance_annuelle", VEHICLE + "valeur_vehicule"),
+}
+
+
+def wide_bounds(wide: DataFrame, ratios: Sequence[str] = tuple(RATIOS)) -> Bounds:
+    """Clip ends of the ratios whose columns exist, all in the same passes."""
+    present = {n: RATIOS[n] for n in ratios if set(RATIOS[n]) <= set(wide.columns)}
+    return quantiles(wide, {n: (numbers.ratio(F.col(a), F.col(b)), CLIP_QUANTILES) for n, (a, b) in present.items()})
+
+
 def fact_bounds(wide: DataFrame) -> Bounds:
-    if not {PAYOUT, POLICY + "prime_assurance_annuelle"} <= set(wide.columns):
-        return {}
-    return quantiles(wide, {"loss_ratio": (_loss_ratio(), CLIP_QUANTILES)})
+    return wide_bounds(wide, ["loss_ratio"])
 
 
 def _loss_ratio() -> Column:
@@ -196,9 +206,7 @@ def fact_claim(wide: DataFrame, bounds: Bounds | None = None) -> DataFrame:
 
 
 def ml_bounds(wide: DataFrame) -> Bounds:
-    if not {POLICY + "prime_assurance_annuelle", VEHICLE + "valeur_vehicule"} <= set(wide.columns):
-        return {}
-    return quantiles(wide, {"premium_to_value_ratio": (_premium_to_value(), CLIP_QUANTILES)})
+    return wide_bounds(wide, ["premium_to_value_ratio"])
 
 
 def _premium_to_value() -> Column:

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from contextvars import ContextVar
+from contextvars import ContextVar, copy_context
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators.sizes import source_bytes
@@ -72,6 +75,26 @@ def spread(df: DataFrame, least_bytes: int = 1 << 20) -> DataFrame:
     return df.repartition(cores)
 
 
+T = TypeVar("T")
+
+
+def concurrently(spark: SparkSession, tasks: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """The results of independent builders, whose jobs run side by side; the first error is raised once all have ended.
+
+    Each has a few jobs in sequence, some of them short, so that one alone leaves most cores waiting.
+    """
+    if not tasks:
+        return {}
+
+    def carried(task: Callable[[], T]) -> Callable[[], T]:
+        context = copy_context()
+        return inheritable_thread_target(spark)(lambda: context.run(task))
+
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        running = {name: pool.submit(carried(task)) for name, task in tasks.items()}
+    return {name: future.result() for name, future in running.items()}
+
+
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 

@@ -1,15 +1,14 @@
-"""Parquet zones: one folder per table, written whole or appended to."""
+"""Zones of versioned Parquet tables, one folder per table, written whole or appended to."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import key_violations, null_nonfinite
 from ..operators.schema import same_headers
+from . import snapshots
 
 # The ten output tables, their zone and their key.
 OUTPUT_TABLES = (
@@ -26,9 +25,14 @@ OUTPUT_TABLES = (
 )
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """``zone.table`` below ``root``; the optimizer decides which columns are read."""
-    return spark.read.parquet(table_path(root, name))
+def read_table(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
+    """``zone.table`` below ``root``, by default its latest version; the optimizer decides which columns are read.
+
+    The rows are those of the version found now, also if the table is replaced before they are read. A folder without versions is read as it is.
+    """
+    path = table_path(root, name)
+    found = snapshots.read_version(spark, path, version)
+    return spark.read.parquet(path) if found is None else snapshots.rows(spark, path, found)
 
 
 def table_path(root: str, name: str) -> str:
@@ -44,34 +48,18 @@ def existing_table(spark: SparkSession, root: str, name: str) -> DataFrame | Non
         raise
 
 
-def _swap_in(spark: SparkSession, new: str, path: str) -> None:
-    """Put a finished folder in place of the old one; readers never see a half-written table."""
-    jvm = spark._jvm
-    target, fresh = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, new))
-    old = jvm.org.apache.hadoop.fs.Path(f"{path}__old_{uuid.uuid4().hex}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    had_old = fs.exists(target)
-    if had_old and not fs.rename(target, old):
-        raise RuntimeError(f"cannot move {path} aside")
-    if not fs.rename(fresh, target):
-        if had_old:
-            fs.rename(old, target)
-        raise RuntimeError(f"cannot move {new} to {path}")
-    if had_old:
-        fs.delete(old, True)
-
-
 def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key: str | None = None, replace_changed: bool = False) -> None:
-    """Write one table, ``append`` or ``replace``.
+    """Write one table, ``append`` or ``replace``, as its next version.
 
     Non-finite numbers become null. A key must be filled and unique. The first write of a
     table must have rows. Rows with other column names than the present table has are not appended, but with
-    ``replace_changed`` they replace it. A replacement is written beside the old table and then swapped in; between
-    the two renames of the swap there is no table, so readers must not run meanwhile.
+    ``replace_changed`` they replace it. Readers see the old version or the new one, and a write that fails leaves the old one.
+    A keyed append looks its keys up only in the files whose key ranges they touch. Of two writers at once, the second checks its keys against what the
+    first has added and then adds its own.
     """
     if mode not in ("append", "replace"):
         raise ValueError(f"mode is {mode!r}, not append or replace")
-    spark = df.sparkSession
+    spark, path = df.sparkSession, table_path(root, name)
     df = null_nonfinite(df)
     present = existing_table(spark, root, name)
     if (present is None or not same_headers(present, df)) and df.isEmpty():
@@ -82,20 +70,48 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key:
             raise ValueError(f"{name}: the column names differ from the present table's")
         add = False
     if key:
-        bad = key_violations(df.select(key), key).limit(5).collect()
-        if add and not bad:  # only the batch's keys are looked up in the present table
-            bad = df.select(F.col(key).alias("key")).join(present.select(F.col(key).alias("key")), "key", "left_semi").limit(5).collect()
-        if bad:
-            raise ValueError(f"{name}: {key} is null or repeated, e.g. {[r['key'] for r in bad]}")
-    path = table_path(root, name)
+        _refuse(name, key, [r["key"] for r in key_violations(df.select(key), key).limit(5).collect()])
     if add:
         names = {c.lower(): c for c in df.columns}
-        aligned = [F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in present.schema.fields]
-        df.select(*aligned).write.mode("append").parquet(path)
-        return
-    fresh = f"{path}__new_{uuid.uuid4().hex}"
-    df.write.parquet(fresh)
-    _swap_in(spark, fresh, path)
+        df = df.select(*[F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in present.schema.fields])
+        key = next((f.name for f in present.schema.fields if key and f.name.lower() == key.lower()), None)
+    before = snapshots.read_version(spark, path)
+    if before is None and add:
+        before = snapshots.Version(0, present.schema, ("",))
+    checked: tuple[str, ...] = ()
+    if add and key:
+        _refuse(name, key, _present_keys(spark, path, before, df.select(key)))
+        checked = before.folders
+    fresh = snapshots.write_folder(df, path, key)
+    while True:
+        folders, known = (before.folders, before.indexed) if add else ((), ())
+        indexed = (*known, fresh) if key else known
+        number = before.number + 1 if before else 1
+        if snapshots.commit(spark, path, snapshots.Version(number, df.schema if not add else before.schema, (*folders, fresh), key, indexed)):
+            return
+        before = snapshots.read_version(spark, path)
+        if add and not same_headers(snapshots.rows(spark, path, before), df):
+            raise ValueError(f"{name} was replaced by a table with other columns meanwhile")
+        if add and key:
+            new = tuple(f for f in before.folders if f not in checked)
+            part = snapshots.Version(before.number, before.schema, new, key, tuple(f for f in before.indexed if f in new))
+            _refuse(name, key, _present_keys(spark, path, part, df.select(key)))
+            checked = before.folders
+
+
+def _present_keys(spark: SparkSession, path: str, version: snapshots.Version, batch: DataFrame) -> list:
+    """Some keys of the batch that the version holds."""
+    key = batch.columns[0]
+    files = snapshots.files_that_may_hold(spark, path, version, batch)
+    if not files:
+        return []
+    held = spark.read.schema(version.schema).parquet(*files).select(F.col(key).alias("key"))
+    return [r["key"] for r in batch.select(F.col(key).alias("key")).join(held, "key", "left_semi").limit(5).collect()]
+
+
+def _refuse(name: str, key: str, bad: list) -> None:
+    if bad:
+        raise ValueError(f"{name}: {key} is null or repeated, e.g. {bad}")
 
 
 def write_outputs(tables: dict[str, DataFrame], root: str, mode: str = "replace") -> None:
