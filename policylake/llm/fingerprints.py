@@ -18,14 +18,14 @@ from pyspark.sql import functions as F
 from ..session import stage
 
 # Both powers of two.
-GRAM, WINDOW = 4, 4
+GRAM, WINDOW = 4, 8
 REACH = GRAM + WINDOW - 1
 BLOCK = 64
 PLACES = 128  # more than the hashes of a block
 NONE = 2**62  # more than any hash
 BLANKS = "\t\n\v\f\r"
 LONG, RUN = 16, 4
-ORDER_PARTITIONS = 64
+ORDER_PARTITIONS, KEYS_A_PART = 64, 1_000_000
 
 
 def tokens(text: str) -> Column:
@@ -74,26 +74,19 @@ def chosen(blocks: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.array_remove(F.array_distinct(windows), NONE).alias("marks"))
 
 
-def fingerprints(texts: DataFrame, by: list[str], text: str = "text", carry: dict[str, Column] | None = None) -> DataFrame:
-    """``(*by, *carry, places, hashes)`` for rows named by ``by``: the places (from 0, ascending, below 2**31) of the chosen token runs, and their 32-bit hashes.
+def fingerprints(texts: DataFrame, by: list[str], text: str = "text") -> DataFrame:
+    """``(*by, places, hashes)`` for rows named by ``by``: the places (from 0, ascending, below 2**31) of the chosen token runs, and their 32-bit hashes.
 
-    Null and empty texts, and those of blanks alone, have none. ``carry`` are columns of short values, taken along in a text's first block.
+    Null and empty texts, and those of blanks alone, have none.
     """
-    carry = carry or {}
-    first = [F.when(F.col("b") == 0, F.col(c)).alias(c) for c in carry]
-    rows = texts.withColumns(carry) if carry else texts
-    cut = token_blocks(rows, [*by, *carry], text).select(*by, *first, "b", "tokens")
-    marks = chosen(cut, [*by, *carry])
+    marks = chosen(token_blocks(texts, by, text), by)
     place = lambda m: F.col("b").cast("long") * BLOCK + (PLACES - 1 - m.bitwiseAND(F.lit(PLACES - 1)))
     # A run chosen by the last windows of a block may be chosen by the next block too: place before hash makes them one number.
     packed = F.transform("marks", lambda m: F.shiftleft(place(m), 32).bitwiseOR(F.shiftright(m, 7)))
-    marks = marks.select(*by, *carry, F.when(F.size("marks") > 0, packed).alias("marks"))
-    out = marks.groupBy(*by).agg(
-        *[F.max(c).alias(c) for c in carry], F.sort_array(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"),
-    )
+    marks = marks.select(*by, F.when(F.size("marks") > 0, packed).alias("marks"))
+    out = marks.groupBy(*by).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
     return out.select(
-        *by, *carry, F.transform("marks", lambda m: F.shiftright(m, 32)).alias("places"),
-        F.transform("marks", lambda m: m.bitwiseAND(F.lit(2**32 - 1))).alias("hashes"),
+        *by, F.transform("marks", lambda m: F.shiftright(m, 32)).alias("places"), F.transform("marks", lambda m: m.bitwiseAND(F.lit(2**32 - 1))).alias("hashes"),
     )
 
 
@@ -109,26 +102,27 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def following(keys: DataFrame) -> DataFrame:
-    """``(id, name, again, next_id, next_name, copies)``: for every ``(id, name)`` counted ``n`` times what follows it, ids descending (null last), then names.
+    """``(id, name, chars, again, next_id, next_name, copies)``: for every ``(id, name)`` counted ``n`` times what follows it, ids descending (null last), then names.
 
     Each of several copies is followed by the next one (``again``, ``n - 1`` copies), the last by the next key, and the last key of all by the first. Keys are
     dealt to partitions by range, so no task sees more than its share, however ids are spread; the partitions' first keys close the gaps.
     """
     order = [F.col("id").desc_nulls_last(), F.col("name").asc()]
-    dealt = stage(keys.repartitionByRange(ORDER_PARTITIONS, *order).withColumn("part", F.spark_partition_id()), "text-order")
+    parts = max(ORDER_PARTITIONS, keys.count() // KEYS_A_PART)
+    dealt = stage(keys.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id()), "text-order")
     inside = Window.partitionBy("part").orderBy(*order)
     lead = [F.lead(F.struct("id", "name")).over(inside).alias("after"), F.row_number().over(inside).alias("nth")]
-    rows = dealt.select("part", "id", "name", "n", *lead)
-    # One row for each of a fixed number of partitions.
-    firsts = rows.filter("nth = 1").select("part", F.struct("id", "name").alias("own"))
-    ends = firsts.agg(F.array_sort(F.collect_list(F.struct("part", "own"))).alias("firsts"))
-    rows = rows.crossJoin(F.broadcast(ends))
-    later = F.filter("firsts", lambda f: f["part"] > F.col("part"))
-    after = F.coalesce("after", F.get(later, F.lit(0))["own"], F.get("firsts", F.lit(0))["own"])
+    rows = dealt.select("part", "id", "name", "n", "chars", *lead)
+    # One row for each part; what follows the last key of all is the first.
+    firsts = stage(rows.filter("nth = 1").select("part", F.struct("id", "name").alias("own")), "text-parts")
+    start = firsts.agg(F.min_by("own", "part").alias("start"))
+    chain = firsts.select("part", F.lead("own").over(Window.orderBy("part")).alias("later")).crossJoin(start)
+    rows = rows.join(F.broadcast(chain), "part")
+    after = F.coalesce("after", "later", "start")
     to_next = F.struct(F.lit(False).alias("again"), after["id"].alias("id"), after["name"].alias("name"), F.lit(1).cast("long").alias("copies"))
     to_copy = F.struct(F.lit(True).alias("again"), F.col("id"), F.col("name"), (F.col("n") - 1).alias("copies"))
-    links = rows.select("id", "name", F.explode(F.when(F.col("n") > 1, F.array(to_next, to_copy)).otherwise(F.array(to_next))).alias("to"))
-    return links.select("id", "name", "to.again", F.col("to.id").alias("next_id"), F.col("to.name").alias("next_name"), F.col("to.copies").alias("copies"))
+    links = rows.select("id", "name", "chars", F.explode(F.when(F.col("n") > 1, F.array(to_next, to_copy)).otherwise(F.array(to_next))).alias("to"))
+    return links.select("id", "name", "chars", "to.again", F.col("to.id").alias("next_id"), F.col("to.name").alias("next_name"), F.col("to.copies").alias("copies"))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -141,28 +135,30 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("name", F.xxhash64("text"))
-    links = stage(following(rows.groupBy("id", "name").agg(F.count(F.lit(1)).alias("n"))), "text-links")
+    keys = rows.groupBy("id", "name").agg(F.count(F.lit(1)).alias("n"), F.first(F.char_length("text")).alias("chars"))
+    links = stage(following(keys), "text-links")
 
     # Each distinct (id, text) once; null ids need a key that joins.
     key = lambda i, n: [F.coalesce(F.col(i), F.lit(0)).alias("i"), F.col(i).isNull().alias("none"), F.col(n).alias("name")]
     by = ["i", "none", "name"]
     texts = rows.select(*key("id", "name"), "text").groupBy(*by).agg(F.first("text").alias("text"))
+    marked = texts.join(fingerprints(texts, by), by)
+    # To the document before goes no more of a text than what replaces that one's end, and the hashes as they are compared.
     own = [F.coalesce(F.col("id"), F.lit(0)).alias("to_i"), F.col("id").isNull().alias("to_none"), F.col("name").alias("to_name")]
-    after = texts.join(links.select(*key("next_id", "next_name"), *own, "again", "copies"), by)
-    after = after.select(*[F.col(f"to_{c}").alias(c) for c in by], F.col("text").alias("after"), "again", "copies")
-    pairs = texts.join(after, by)
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    edit = F.concat(F.left("text", F.char_length("text") - half), F.left("after", half))
-    each = F.array(*[F.struct(F.lit(r).cast("byte").alias("role"), c.alias("text")) for r, c in enumerate((F.col("text"), edit, F.col("after")))])
-    by = [*by, "again", "copies"]
-    each = pairs.select(*by, F.explode(each).alias("one")).select(*by, "one.role", "one.text")
-    facts = {"n_chars": F.when(F.col("role") == 0, F.char_length("text")).cast("long"), "edited_sha256": F.when(F.col("role") == 1, F.sha2("text", 256))}
-    marks = fingerprints(each, [*by, "role"], carry=facts)
-    role = lambda c, r: F.max(F.when(F.col("role") == r, F.col(c)))
-    wide = marks.groupBy(*by).agg(
-        F.max("n_chars").alias("n_chars"), F.max("edited_sha256").alias("edited_sha256"), role("places", 0).alias("places"), role("hashes", 0).alias("hashes"),
-        role("places", 1).alias("edited_places"), role("hashes", 1).alias("edited_hashes"), role("hashes", 2).alias("next_hashes"),
+    after = marked.join(links.select(*key("next_id", "next_name"), *own, F.floor(F.col("chars") / 2).cast("int").alias("half"), "again", "copies"), by)
+    after = after.select(
+        *[F.col(f"to_{c}").alias(c) for c in by], "again", "copies", "half", F.left("text", F.col("half")).alias("end"),
+        F.transform("hashes", lambda h: (h - 2**31).cast("int")).alias("next_hashes"),
+    )
+    edit = F.concat(F.left("text", F.char_length("text") - F.col("half")), F.col("end"))
+    pairs = marked.join(after, by).withColumn("edited", edit)
+    by = [*by, "again"]
+    wide = pairs.select(
+        *by, "copies", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "places", "hashes",
+        F.transform("next_hashes", lambda h: h.cast("long") + 2**31).alias("next_hashes"),
     )
+    edited = fingerprints(pairs, by, "edited").select(*by, F.col("places").alias("edited_places"), F.col("hashes").alias("edited_hashes"))
+    wide = wide.join(edited, by)
     near = {"near_edited": likeness(F.col("hashes"), F.col("edited_hashes")), "near_next": likeness(F.col("hashes"), F.col("next_hashes"))}
     out = wide.withColumns(near).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(
