@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,6 +12,20 @@ from policylake.llm import contamination, language, lines, mixing, neardup
 from policylake.session import stage
 
 BROADCAST_KEYS = 1_000_000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def in_small_batches(apply: Stage) -> Stage:
+    """Whole texts reach Python workers 500 rows at a time, unless the session says otherwise, so that workers stay small from stage to stage."""
+    @wraps(apply)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not spark.sparkContext.getConf().contains(BATCH_ROWS):
+            spark.conf.set(BATCH_ROWS, "500")
+        return apply(spark, docs, sf_dir)
+
+    return run
 
 
 def few(keys: DataFrame) -> DataFrame:
@@ -34,6 +51,7 @@ def one_of_each_id(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.join(twice, "doc_id", "left_anti").unionByName(one).select(*docs.columns)
 
 
+@in_small_batches
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told; the others go. Rows are told apart by id and text."""
     key = free_name(docs, "row_key")
@@ -42,6 +60,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keyed.join(few(found.filter("not accepted").select(key)), key, "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that one of smaller id holds."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
@@ -50,6 +69,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.select(*docs.columns)
 
 
+@in_small_batches
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id; of rows with one id, the first by text."""
     found = stage(neardup.near_duplicates(docs).select("doc_id", "component_id"), "near-copies")
@@ -57,12 +77,14 @@ def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return one_of_each_id(kept, docs)
 
 
+@in_small_batches
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark."""
     found = contamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(few(found.select("doc_id")), "doc_id", "left_anti").select(*docs.columns)
 
 
+@in_small_batches
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: a document's text once for each epoch that takes it, with its place in the order; of rows with one id, the first by text."""
     docs = one_of_each_id(docs, docs)

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +26,7 @@ LEAST_TEXTS = 10
 UNKNOWN = "und"
 TEMPERATURE = 0.25  # overlapping trigrams are not independent
 HOST_STRENGTH = 20.0
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 SHARES = 1 << 40
 
 _letters = bytearray(range(256))
@@ -34,16 +35,18 @@ for _b in range(128):
 LETTERS = bytes(_letters)
 
 
-def chunks(rows: list[bytes], most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive texts of a few MB in all, with the place of the first."""
-    begin, size = 0, 0
-    for n, row in enumerate(rows):
-        if size and size + len(row) > most:
-            yield begin, rows[begin:n]
-            begin, size = n, 0
-        size += len(row)
-    if begin < len(rows):
-        yield begin, rows[begin:]
+def chunks(batch: pa.RecordBatch, most: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about a MB in all, with the place of the first; only these are held as Python values."""
+    column = batch.column("text")
+    sizes = np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.float64))
+    begin, size = 0, 0.0
+    for n, own in enumerate(sizes.tolist()):
+        if size and size + own > most:
+            yield begin, texts(batch.slice(begin, n - begin))
+            begin, size = n, 0.0
+        size += own
+    if begin < len(sizes):
+        yield begin, texts(batch.slice(begin))
 
 
 def grams(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -52,7 +55,7 @@ def grams(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     code = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     starts = np.cumsum([0] + [len(r) + 2 for r in rows[:-1]])
-    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.int64), starts, code == 0x202020
+    return ((code * np.uint32(2654435761)) >> np.uint32(16)).astype(np.uint16), starts, code == 0x202020
 
 
 def primary(column: Column) -> Column:
@@ -79,7 +82,7 @@ def gram_counts(docs: DataFrame, fit_rows: int) -> dict[str, np.ndarray]:
         sums: dict[str, np.ndarray] = {}
         for part in parts:
             declared = part.column("declared").to_pylist()
-            for begin, rows in chunks(texts(part)):
+            for begin, rows in chunks(part):
                 for language in set(declared[begin : begin + len(rows)]):
                     own = [r for r, d in zip(rows, declared[begin:]) if d == language]
                     code, _, blank = grams(own)
@@ -134,10 +137,10 @@ def identify(
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             evidence, letters = np.zeros((batch.num_rows, n)), np.zeros(batch.num_rows, np.int64)
-            for begin, own in chunks(texts(batch)):
+            for begin, own in chunks(batch):
                 code, starts, blank = grams(own)
                 to = slice(begin, begin + len(own))
-                letters[to] = np.add.reduceat((~blank).astype(np.int64), starts)
+                letters[to] = np.add.reduceat(~blank, starts, dtype=np.int64)
                 for k in range(n):
                     odds = weights[k][code]
                     odds[blank] = 0
@@ -173,7 +176,7 @@ def identify(
     def fuse(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
             size = batch.num_rows
-            get = lambda c: np.array(batch.column(c).to_pylist(), float).reshape(size, -1)[:, :n]
+            get = lambda c: batch.column(c).flatten().to_numpy().reshape(size, -1)[:, :n]
             letters = batch.column("letters").to_numpy()
             text = np.array([batch.column(p).to_numpy() for p in ps]).T.reshape(size, n)
             evidence = TEMPERATURE * get("evidence")
