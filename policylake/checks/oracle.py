@@ -530,6 +530,15 @@ SQL: dict[str, str] = {
     "training_features": "select cast(is_delayed as int) as is_delayed, type_couverture, marque, income_band, claim_month, sla_jours, vehicle_age from ml_claim where is_delayed is not null",
     "stratified_split": "select claim_id, is_delayed, case when rank() over (partition by is_delayed order by substr(md5(concat(claim_id, '42')), 1, 13)) "
                         "<= ceil(count(*) over (partition by is_delayed) / 5.0) then 'test' else 'train' end as split from scored",
+    "split_balance": "select split, is_delayed, count(*) as rows, round(count(*) / sum(count(*)) over (partition by split)::double, 6) as share "
+                     "from (select is_delayed, case when rank() over (partition by is_delayed order by substr(md5(concat(claim_id, '42')), 1, 13)) "
+                     "<= ceil(count(*) over (partition by is_delayed) / 5.0) then 'test' else 'train' end as split from scored) group by split, is_delayed",
+    "ingest_mixed_headers": "select * replace (case when o_orderkey % 2 = 0 then o_orderpriority end as o_orderpriority) from conformed",
+    "stream_mixed_headers": "select * replace (case when o_orderkey % 2 = 0 then o_orderpriority end as o_orderpriority) from conformed "
+                            "where o_totalprice is not null and o_orderdate is not null",
+    "stream_claims_once": "select claim_id, 1::bigint as arrivals from clean_claims",
+    "load_versions": "with k as (select distinct o_orderkey from orders) select 2::bigint as version, count(*) as rows, max(o_orderkey) as greatest from k where o_orderkey % 5 = 1 "
+                     "union all select 3::bigint, count(*), max(o_orderkey) from k where o_orderkey % 5 in (1, 2)",
     "train_delay_models": f"select model, {_tested} as test_rows, {_tested} as scored_rows, true as probabilities_ok, true as figures_ok from {_models}",
     "train_duration_model": "select case when substr(md5(concat(claim_id, '42')), 1, 13) <= '3333333333333' then 'test' else 'train' end as split, "
                             "count(*) as rows, true as figures_ok from clean_claims where is_delayed = 1 and duree_traitement_jours is not null group by 1",

@@ -18,7 +18,7 @@ from ..operators.sizes import literal_rows
 from ..plans import build, claims, clients, dashboard, delay_scoring, delay_training, jobs, policies, vehicles, warehouse
 from ..plans.bounds import bounds_table, clip_bounds, clip_columns, read_bounds
 from ..session import scratch_folder, spread, stage, tune
-from ..sources import ingest, tables
+from ..sources import ingest, snapshots, tables
 from ..sources.driver_tables import load, raw_table, raw_tables
 from ..streaming import arrivals
 from .inputs import AS_OF, ORDER, arriving_csv, arriving_orders, scored_claims
@@ -76,6 +76,20 @@ def ingest_csv_scan(spark, folder):
     return ingest.read_csv(spark, arriving_csv(spark, folder)).drop(ingest.CORRUPT)
 
 
+def _mixed_csv(spark, folder) -> str:
+    """Arriving rows in files of two headers: columns in reverse order, and without the priority."""
+    path, new = scratch_folder(spark, "arriving"), arriving_orders(spark, folder)
+    even = F.col("o_orderkey").cast("bigint") % 2 == 0
+    new.filter(even).select(*reversed(new.columns)).write.option("header", True).csv(f"{path}/even")
+    new.filter(~even).drop("o_orderpriority").write.option("header", True).csv(f"{path}/odd")
+    return path
+
+
+@query
+def ingest_mixed_headers(spark, folder):
+    return ingest.conform(ingest.read_csv(spark, _mixed_csv(spark, folder)), load(spark, folder, "orders").schema)
+
+
 @query
 def ingest_conform(spark, folder):
     new = ingest.read_csv(spark, arriving_csv(spark, folder))
@@ -143,6 +157,21 @@ def load_replace(spark, folder):
     return tables.read_table(spark, root, "stg.customer")
 
 
+@query
+def load_versions(spark, folder):
+    """Rows and greatest key of each version: three loads, the last one appended, after the first was dropped."""
+    root = scratch_folder(spark, "zones")
+    rows = load(spark, folder, "orders").select("o_orderkey", "o_custkey").dropDuplicates(["o_orderkey"])
+    tables.write_table(rows.filter("o_orderkey % 5 = 0"), root, "stg.orders", "replace", "o_orderkey")
+    tables.write_table(rows.filter("o_orderkey % 5 = 1"), root, "stg.orders", "replace", "o_orderkey")
+    tables.write_table(rows.filter("o_orderkey % 5 = 2"), root, "stg.orders", "append", "o_orderkey")
+    path = tables.table_path(root, "stg.orders")
+    snapshots.remove_old_versions(spark, path, keep=2)
+    found = [tables.read_table(spark, root, "stg.orders", v).agg(F.lit(v).cast("bigint").alias("version"), F.count(F.lit(1)).alias("rows"), F.max("o_orderkey").alias("greatest"))
+             for v in snapshots.versions(spark, path)]
+    return found[0].unionByName(found[1])
+
+
 @query
 def load_append(spark, folder):
     root = scratch_folder(spark, "zones")
@@ -758,6 +787,12 @@ def stratified_split(spark, folder):
     return delay_training.stratified_split(scored_claims(spark, folder)).select("claim_id", "is_delayed", "split")
 
 
+@query
+def split_balance(spark, folder):
+    parts = delay_training.stratified_split(scored_claims(spark, folder))
+    return delay_training.split_balance(parts).withColumn("share", F.round("share", 6))
+
+
 def _staged_learning(spark, folder) -> tuple[DataFrame, DataFrame]:
     clean = _staged_clean(spark, folder)
     wide = stage(build.wide_claims(clean), "claim_wide")
@@ -855,6 +890,28 @@ def stream_ingest(spark, folder):
     return arrivals.read_arrivals(spark, out, target).drop(arrivals.BATCH)
 
 
+@query
+def stream_mixed_headers(spark, folder):
+    path, target = _mixed_csv(spark, folder), load(spark, folder, "orders").schema
+    out, rejected, state = (scratch_folder(spark, n) for n in ("arrivals", "rejected", "checkpoint"))
+    arrivals.append_files(arrivals.csv_files(spark, f"{path}/*"), target, out, rejected, state).awaitTermination()
+    return arrivals.read_arrivals(spark, out, target).drop(arrivals.BATCH)
+
+
+@query
+def stream_claims_once(spark, folder):
+    """How often each claim comes out of a stream that is restarted between two deliveries, the second of which repeats the first."""
+    arriving, out, state = (scratch_folder(spark, n) for n in ("arriving_claims", "claims", "checkpoint"))
+    source = _raw(spark, folder, "claims").select("claim_id", "vehicle_id")
+    for delivery in (source.filter("hash(vehicle_id) % 2 = 0"), source):
+        delivery.write.mode("append").parquet(arriving)
+        stream = arrivals.first_arrivals(spark.readStream.schema(source.schema).parquet(arriving))
+        writer = stream.writeStream.option("checkpointLocation", state).trigger(availableNow=True).format("parquet")
+        writer.start(out).awaitTermination()
+    ids = apply_steps(spark.read.schema(source.schema).parquet(out), {"claim_id": text.normalized_id()})
+    return ids.groupBy("claim_id").agg(F.count(F.lit(1)).alias("arrivals"))
+
+
 @query
 def stream_score(spark, folder):
     raw = raw_tables(spark, folder)

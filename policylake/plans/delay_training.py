@@ -12,7 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.quantiles import quantiles
@@ -84,6 +84,12 @@ def stratified_split(df: DataFrame, key: str = "claim_id", share: float = TEST_S
     return marked.withColumn("split", F.when(test, "test").otherwise("train")).drop("__order")
 
 
+def split_balance(parts: DataFrame) -> DataFrame:
+    """Rows of each class in each split, and their share of the split."""
+    counts = parts.groupBy("split", TARGET).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy("split")))
+
+
 def class_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(TARGET).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -18,6 +20,8 @@ from ..session import stage
 from .tables import existing_table, write_table
 
 CORRUPT = "_corrupt_record"
+HEADER_BYTES = 1 << 20
+LISTERS = 16
 TYPED = "__typed_"
 
 # CSV fields that mean "missing".
@@ -33,26 +37,73 @@ def csv_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str] | None:
-    """Column names of a CSV file or folder; None where there is no such file."""
-    try:
-        return spark.read.option("header", True).option("escape", '"').csv(path).columns
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return None
-        raise
+    """Column names of a CSV file, or of all files of a folder, each name once; None where there is no such file."""
+    groups = csv_headers(spark, path)
+    return None if groups is None else [*{c.lower(): c for header in reversed(groups) for c in header}.values()]
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame | None:
-    """The file as text columns; the values are typed later, by the target table.
+def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[tuple[str, ...], list[str]] | None:
+    """The files below ``paths`` by their own header; files without any byte are left out. None where nothing is there.
 
-    A doubled quote in a quoted field is one quote. ``multi_line`` allows line breaks in quoted fields; such a
-    file cannot be split, so it is off unless a source needs it.
+    Of each file only the start is read, by the driver, several at a time, as when Spark lists them.
     """
-    header = csv_header(spark, path)
-    if header is None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files: list[str] = []
+    found = False
+    for path in [paths] if isinstance(paths, str) else paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        listed = target.getFileSystem(conf).globStatus(target)
+        for status in listed or ():
+            found = True
+            files += _files_below(spark, status)
+    if not found:
+        return None
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def header(file: str) -> tuple[str, ...] | None:
+        at = jvm.org.apache.hadoop.fs.Path(file)
+        stream, codec = at.getFileSystem(conf).open(at), codecs.getCodec(at)
+        try:
+            stream = stream if codec is None else codec.createInputStream(stream)
+            start = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(jvm.org.apache.commons.io.input.BoundedInputStream(stream, HEADER_BYTES)))
+        finally:
+            stream.close()
+        lines = start.decode("utf-8-sig", "replace").splitlines()
+        return tuple(next(csv.reader([lines[0]]))) if lines and lines[0] else None
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(LISTERS) as pool:
+        for file, names in zip(files, pool.map(header, files)):
+            if names is not None:
+                groups.setdefault(names, []).append(file)
+    return groups
+
+
+def _files_below(spark: SparkSession, status) -> list[str]:
+    """Data files of a folder and its subfolders, or the file itself; hidden ones are skipped, as Spark does."""
+    if not status.isDirectory():
+        return [status.getPath().toString()]
+    fs = status.getPath().getFileSystem(spark._jsc.hadoopConfiguration())
+    visible = [s for s in fs.listStatus(status.getPath()) if not s.getPath().getName().startswith(("_", "."))]
+    return sorted(f for s in visible for f in _files_below(spark, s))
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], multi_line: bool = False) -> DataFrame | None:
+    """The files as text columns; the values are typed later, by the target table.
+
+    Files are grouped by their own header. Each group is read under it, and the groups are united by name, ignoring case: a column that a file
+    does not have is null in its rows, and the order of columns does not matter. A doubled quote in a quoted field is one quote. ``multi_line``
+    allows line breaks in quoted fields; such a file cannot be split, so it is off unless a source needs it. None where there is no such file.
+    """
+    groups = csv_headers(spark, path)
+    if groups is None:
         return None
     reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').option("multiLine", multi_line)
-    return reader.schema(csv_schema(header)).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+    parts = [reader.schema(csv_schema(header)).csv(files) for header, files in groups.items()]
+    if not parts:
+        return spark.createDataFrame([], csv_schema([]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def casting(target: T.DataType) -> Steps:
