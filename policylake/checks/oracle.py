@@ -537,6 +537,9 @@ SQL: dict[str, str] = {
     "stream_mixed_headers": "select * replace (case when o_orderkey % 2 = 0 then o_orderpriority end as o_orderpriority) from conformed "
                             "where o_totalprice is not null and o_orderdate is not null",
     "stream_claims_once": "select claim_id, 1::bigint as arrivals from clean_claims",
+    "stream_limits": "select 'l_extendedprice' as name, count(l_extendedprice) as rows, min(l_extendedprice) as least, max(l_extendedprice) as greatest, true as ranks_ok from lineitem "
+                     "union all select 'l_quantity', count(l_quantity), min(l_quantity), max(l_quantity), true from lineitem",
+    "schema_history": "select c_custkey, c_acctbal as balance, case when c_custkey % 3 = 0 then c_mktsegment end as c_mktsegment from customer",
     "load_versions": "with k as (select distinct o_orderkey from orders) select 2::bigint as version, count(*) as rows, max(o_orderkey) as greatest from k where o_orderkey % 5 = 1 "
                      "union all select 3::bigint, count(*), max(o_orderkey) from k where o_orderkey % 5 in (1, 2)",
     "train_delay_models": f"select model, {_tested} as test_rows, {_tested} as scored_rows, true as probabilities_ok, true as figures_ok from {_models}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -912,6 +913,37 @@ def stream_claims_once(spark, folder):
     return ids.groupBy("claim_id").agg(F.count(F.lit(1)).alias("arrivals"))
 
 
+@query
+def stream_limits(spark, folder):
+    """Limits that follow a stream of two deliveries: the ends, and whether the ranks of the quartiles are right within one percent."""
+    arriving, out, state = (scratch_folder(spark, n) for n in ("arriving_items", "sketches", "checkpoint"))
+    source, names = load(spark, folder, "lineitem").select("l_orderkey", "l_extendedprice", "l_quantity"), ["l_extendedprice", "l_quantity"]
+    for part in (0, 1):
+        source.filter(F.col("l_orderkey") % 2 == part).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(source.schema).parquet(arriving)
+        arrivals.sketch_arrivals(stream, names, out, state).awaitTermination()
+    places = (0.0, 0.25, 0.5, 0.75, 1.0)
+    limits = arrivals.followed_limits(spark, out, places)
+
+    def within(name: str, p: float, value: float):
+        under, upto = (F.avg(c.cast("double")) for c in (F.col(name) < value, F.col(name) <= value))
+        return (under <= p + 0.01) & (upto >= p - 0.01)
+
+    rows = [F.struct(F.lit(n).alias("name"), F.count(n).alias("rows"), F.lit(limits[n][0]).alias("least"), F.lit(limits[n][-1]).alias("greatest"),
+                     reduce(lambda a, b: a & b, [within(n, p, v) for p, v in zip(places, limits[n])]).alias("ranks_ok")) for n in names]
+    return source.agg(F.array(*rows).alias("all")).select(F.inline("all"))
+
+
+@query
+def schema_history(spark, folder):
+    """A table after a column was renamed and another added: old rows keep their values, and lack the new column."""
+    root, rows = scratch_folder(spark, "zones"), load(spark, folder, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    tables.write_table(rows.filter("c_custkey % 3 > 0").drop("c_mktsegment"), root, "stg.clients", "replace", "c_custkey")
+    snapshots.rename_columns(spark, tables.table_path(root, "stg.clients"), {"c_acctbal": "balance"})
+    tables.write_table(rows.filter("c_custkey % 3 = 0").withColumnRenamed("c_acctbal", "balance"), root, "stg.clients", "append", "c_custkey", add_columns=True)
+    return tables.read_table(spark, root, "stg.clients")
+
+
 @query
 def stream_score(spark, folder):
     raw = raw_tables(spark, folder)

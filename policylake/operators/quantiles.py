@@ -218,3 +218,22 @@ def measured(rows: DataFrame, measures: dict[str, Measure], two_steps: bool) ->
         whole = rows.agg(*partial)
     row = whole.select(*[m.final(F.col(n)).alias(n) for n, m in measures.items()]).collect()[0]
     return row.asDict()
+
+
+def rank_sketches(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``(name, n, sketch)`` of each column: a state that can be kept, and merged with those of other rows. Nulls and non-finite values are left out."""
+    rows = df.select(*[F.when(F.abs(c.cast("double")) < INF, c.cast("double") + 0.0).alias(f"s{i}") for i, c in enumerate(columns.values())])
+    one = rows.agg(*[F.struct(F.lit(n).alias("name"), F.count(f"s{i}").alias("n"), F.kll_sketch_agg_double(f"s{i}", F.lit(SKETCH)).alias("sketch")).alias(f"s{i}")
+                     for i, n in enumerate(columns)])
+    return one.select(F.inline(F.array(*[f"s{i}" for i in range(len(columns))])))
+
+
+def merged_sketches(states: DataFrame) -> DataFrame:
+    """One state for each name, of all rows that any of the states has seen."""
+    return states.filter("n > 0").groupBy("name").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(SKETCH)).alias("sketch"))
+
+
+def sketch_quantiles(states: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """``(name, p, value)`` from merged states: values whose rank is right within the sketch's error (``ERROR``); ends are exact."""
+    at = [F.struct(F.lit(float(p)).alias("p"), F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias("value")) for p in probabilities]
+    return merged_sketches(states).select("name", F.inline(F.array(*at)))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.quality import key_violations, null_nonfinite
 from ..operators.schema import same_headers
@@ -48,12 +51,15 @@ def existing_table(spark: SparkSession, root: str, name: str) -> DataFrame | Non
         raise
 
 
-def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key: str | None = None, replace_changed: bool = False) -> None:
+def write_table(
+    df: DataFrame, root: str, name: str, mode: str = "append", key: str | None = None, replace_changed: bool = False, add_columns: bool = False,
+) -> None:
     """Write one table, ``append`` or ``replace``, as its next version.
 
     Non-finite numbers become null. A key must be filled and unique. The first write of a
     table must have rows. Rows with other column names than the present table has are not appended, but with
-    ``replace_changed`` they replace it. Readers see the old version or the new one, and a write that fails leaves the old one.
+    ``replace_changed`` they replace it, and with ``add_columns`` their new columns join the table, null in its old rows, and those they lack
+    are null in them. Readers see the old version or the new one, and a write that fails leaves the old one.
     A keyed append looks its keys up only in the files whose key ranges they touch. Of two writers at once, the second checks its keys against what the
     first has added and then adds its own.
     """
@@ -62,22 +68,22 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key:
     spark, path = df.sparkSession, table_path(root, name)
     df = null_nonfinite(df)
     present = existing_table(spark, root, name)
-    if (present is None or not same_headers(present, df)) and df.isEmpty():
+    if (present is None or not (add_columns or same_headers(present, df))) and df.isEmpty():
         raise ValueError(f"{name} cannot be created from an empty table")
     add = mode == "append" and present is not None
-    if add and not same_headers(present, df):
+    if add and not add_columns and not same_headers(present, df):
         if not replace_changed:
             raise ValueError(f"{name}: the column names differ from the present table's")
         add = False
     if key:
         _refuse(name, key, [r["key"] for r in key_violations(df.select(key), key).limit(5).collect()])
-    if add:
-        names = {c.lower(): c for c in df.columns}
-        df = df.select(*[F.col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in present.schema.fields])
-        key = next((f.name for f in present.schema.fields if key and f.name.lower() == key.lower()), None)
     before = snapshots.read_version(spark, path)
     if before is None and add:
-        before = snapshots.Version(0, present.schema, ("",))
+        before = snapshots.Version(0, snapshots.numbered(present.schema), ("",))
+    schema = snapshots.numbered(_joined(before.schema, df.schema) if add else df.schema, before.schema if before else None)
+    names = {c.lower(): c for c in df.columns}
+    df = df.select(*[(F.col(f"`{names[f.name.lower()]}`") if f.name.lower() in names else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields])
+    key = next((f.name for f in schema.fields if key and f.name.lower() == key.lower()), None)
     checked: tuple[str, ...] = ()
     if add and key:
         _refuse(name, key, _present_keys(spark, path, before, df.select(key)))
@@ -87,25 +93,32 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "append", key:
         folders, known = (before.folders, before.indexed) if add else ((), ())
         indexed = (*known, fresh) if key else known
         number = before.number + 1 if before else 1
-        if snapshots.commit(spark, path, snapshots.Version(number, df.schema if not add else before.schema, (*folders, fresh), key, indexed)):
+        written = tuple((f, before.schema_of(f)) for f in folders if before.schema_of(f) != schema)
+        if snapshots.commit(spark, path, snapshots.Version(number, schema, (*folders, fresh), key, indexed, written)):
             return
-        before = snapshots.read_version(spark, path)
-        if add and not same_headers(snapshots.rows(spark, path, before), df):
-            raise ValueError(f"{name} was replaced by a table with other columns meanwhile")
+        before, wanted = snapshots.read_version(spark, path), schema
+        if add and snapshots.numbered(_joined(before.schema, wanted), before.schema) != wanted:
+            raise ValueError(f"{name} was given other columns meanwhile")
         if add and key:
             new = tuple(f for f in before.folders if f not in checked)
-            part = snapshots.Version(before.number, before.schema, new, key, tuple(f for f in before.indexed if f in new))
+            part = replace(before, folders=new, indexed=tuple(f for f in before.indexed if f in new))
             _refuse(name, key, _present_keys(spark, path, part, df.select(key)))
             checked = before.folders
 
 
+def _joined(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old columns, then those that are new by name, ignoring case."""
+    known = {n.lower() for n in old.names}
+    return T.StructType([*old.fields, *[f for f in new.fields if f.name.lower() not in known]])
+
+
 def _present_keys(spark: SparkSession, path: str, version: snapshots.Version, batch: DataFrame) -> list:
     """Some keys of the batch that the version holds."""
     key = batch.columns[0]
     files = snapshots.files_that_may_hold(spark, path, version, batch)
     if not files:
         return []
-    held = spark.read.schema(version.schema).parquet(*files).select(F.col(key).alias("key"))
+    held = snapshots.rows(spark, path, version, files).select(F.col(key).alias("key"))
     return [r["key"] for r in batch.select(F.col(key).alias("key")).join(held, "key", "left_semi").limit(5).collect()]
 
 

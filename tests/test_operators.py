@@ -2,9 +2,11 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from policylake.operators import quantiles as rank
 from policylake.operators import schema
 from policylake.operators.dedupe import keep_first
 from policylake.operators.lookup import hot_keys, lookup
@@ -38,6 +40,34 @@ def test_quantiles_equal_brute_force(spark):
         assert found[c] == (wanted if not values else pytest.approx(wanted, rel=1e-12, abs=0)), c
 
 
+@pytest.mark.parametrize("settings", [{}, {"TAKEN": 500}, {"TAKEN": 200, "MERGED_AT_ONCE": -1}, {"TAKEN": 2000, "ERROR": 0.0001}])
+def test_quantiles_of_many_rows(spark, monkeypatch, settings):
+    """Ties that hold a third of the rows, heavy tails, NaN; few values taken at once, sketches merged in two steps, and brackets that miss."""
+    for name, value in settings.items():
+        monkeypatch.setattr(rank, name, value)
+    rng = np.random.default_rng(7)
+    n = 40_000
+    tied = np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 12, n))
+    tail = np.exp(rng.normal(size=n) * 6) * rng.choice([-1, 1], n)
+    holes = np.where(rng.random(n) < 0.1, np.nan, rng.random(n))
+    df = spark.createDataFrame(pd.DataFrame({"tied": tied, "tail": tail, "holes": holes})).withColumn("none", F.lit(None).cast("double"))
+    ps = (0.0, 0.01, 0.5, 0.95, 1.0)
+    found = quantiles(df, {c: (F.col(c), ps) for c in df.columns})
+    for c, v in (("tied", tied), ("tail", tail), ("holes", holes[~np.isnan(holes)])):
+        assert found[c] == pytest.approx([float(np.quantile(v, p)) for p in ps], rel=1e-12), c
+    assert found["none"] == [None] * 5
+
+
+def test_sketches_of_batches_merge(spark):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).cast("double").alias("x"), F.lit(None).cast("double").alias("y"))
+    parts = [rank.rank_sketches(df.filter(f"x % 3 = {k}"), {"x": F.col("x"), "y": F.col("y")}) for k in range(3)]
+    states = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    got = {r["p"]: r["value"] for r in rank.sketch_quantiles(states, (0.0, 0.01, 0.5, 0.99, 1.0)).collect()}
+    assert got[0.0] == 0 and got[1.0] == 19_999
+    assert all(abs(v / 20_000 - p) < rank.ERROR for p, v in got.items())
+    assert rank.merged_sketches(states).select("name", "n").collect() == [("x", 20_000)]
+
+
 def test_quantiles_of_a_file_that_packs_well(spark, tmp_path):
     path = str(tmp_path / "packed")
     spark.range(1_000_000).select((F.col("id") % 7).cast("double").alias("v")).write.parquet(path)

@@ -110,3 +110,26 @@ def test_a_plain_folder_becomes_a_versioned_table(spark, tmp_path):
     tables.write_table(numbers(spark, 7), root, "z.t", "replace", "k")
     assert snapshots.remove_old_versions(spark, path) == [1]
     assert tables.read_table(spark, root, "z.t").count() == 7 and spark.read.parquet(f"{path}/_data/*").count() == 7
+
+
+def test_columns_keep_their_values_under_new_names(spark, tmp_path):
+    root, path = str(tmp_path), tables.table_path(str(tmp_path), "z.t")
+    tables.write_table(numbers(spark, 3), root, "z.t", "replace", "k")
+    snapshots.rename_columns(spark, path, {"v": "w"})
+    more = numbers(spark, 2, 10).withColumnRenamed("v", "W").withColumn("extra", F.lit("e"))
+    with pytest.raises(ValueError, match="differ"):
+        tables.write_table(more, root, "z.t", "append", "k")
+    tables.write_table(more, root, "z.t", "append", "k", add_columns=True)
+    tables.write_table(numbers(spark, 1, 20).select("k", F.lit("f").alias("v")), root, "z.t", "append", "k", add_columns=True)  # v again: a new column
+    now = tables.read_table(spark, root, "z.t")
+    assert now.columns == ["k", "w", "extra", "v"]
+    assert {tuple(r) for r in now.collect()} == {(0, 0, None, None), (1, 1, None, None), (2, 2, None, None), (10, 3, "e", None), (11, 4, "e", None), (20, None, None, "f")}
+    assert tables.read_table(spark, root, "z.t", 1).columns == ["k", "v"]
+    assert snapshots.schema_changes(spark, path, 1, 4) == [(2, "v", "w", "renamed"), (3, None, "extra", "added"), (4, None, "v", "added")]
+    assert snapshots.schema_changes(spark, path, 4, 2) == [(3, "extra", None, "removed"), (4, "v", None, "removed")]
+    with pytest.raises(ValueError, match="repeated"):
+        tables.write_table(more.limit(1), root, "z.t", "append", "k", add_columns=True)
+    with pytest.raises(ValueError, match="one name"):
+        snapshots.rename_columns(spark, path, {"w": "EXTRA"})
+    with pytest.raises(ValueError, match="no columns"):
+        snapshots.rename_columns(spark, path, {"nothing": "x"})
