@@ -74,19 +74,24 @@ def chosen(blocks: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.array_remove(F.array_distinct(windows), NONE).alias("marks"))
 
 
-def fingerprints(texts: DataFrame, by: list[str], text: str = "text") -> DataFrame:
-    """``(*by, places, hashes)`` for rows named by ``by``: the places (from 0, ascending, below 2**31) of the chosen token runs, and their 32-bit hashes.
+def fingerprints(texts: DataFrame, by: list[str], text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """``(*by, *carry, places, hashes)`` for rows named by ``by``: the places (from 0, ascending, below 2**31) of the chosen token runs, and their 32-bit hashes.
 
-    Null and empty texts, and those of blanks alone, have none.
+    Null and empty texts, and those of blanks alone, have none. ``carry`` are columns that go along, in a text's first block only.
     """
-    marks = chosen(token_blocks(texts, by, text), by)
+    carry = carry or []
+    cut = token_blocks(texts, [*by, *carry], text).select(*by, *[F.when(F.col("b") == 0, F.col(c)).alias(c) for c in carry], "b", "tokens")
+    marks = chosen(cut, [*by, *carry])
     place = lambda m: F.col("b").cast("long") * BLOCK + (PLACES - 1 - m.bitwiseAND(F.lit(PLACES - 1)))
     # A run chosen by the last windows of a block may be chosen by the next block too: place before hash makes them one number.
     packed = F.transform("marks", lambda m: F.shiftleft(place(m), 32).bitwiseOR(F.shiftright(m, 7)))
-    marks = marks.select(*by, F.when(F.size("marks") > 0, packed).alias("marks"))
-    out = marks.groupBy(*by).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("marks"))
+    marks = marks.select(*by, *carry, F.when(F.size("marks") > 0, packed).alias("marks"))
+    out = marks.groupBy(*by).agg(
+        *[F.max(c).alias(c) for c in carry], F.sort_array(F.array_distinct(F.flatten(F.collect_list("marks")))).alias("all_marks"),
+    )
     return out.select(
-        *by, F.transform("marks", lambda m: F.shiftright(m, 32)).alias("places"), F.transform("marks", lambda m: m.bitwiseAND(F.lit(2**32 - 1))).alias("hashes"),
+        *by, *carry, F.transform("all_marks", lambda m: F.shiftright(m, 32)).alias("places"),
+        F.transform("all_marks", lambda m: m.bitwiseAND(F.lit(2**32 - 1))).alias("hashes"),
     )
 
 
@@ -142,7 +147,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     key = lambda i, n: [F.coalesce(F.col(i), F.lit(0)).alias("i"), F.col(i).isNull().alias("none"), F.col(n).alias("name")]
     by = ["i", "none", "name"]
     texts = rows.select(*key("id", "name"), "text").groupBy(*by).agg(F.first("text").alias("text"))
-    marked = texts.join(fingerprints(texts, by), by)
+    marked = fingerprints(texts.withColumn("whole", F.col("text")), by, "whole", ["text"])
     # To the document before goes no more of a text than what replaces that one's end, and the hashes as they are compared.
     own = [F.coalesce(F.col("id"), F.lit(0)).alias("to_i"), F.col("id").isNull().alias("to_none"), F.col("name").alias("to_name")]
     after = marked.join(links.select(*key("next_id", "next_name"), *own, F.floor(F.col("chars") / 2).cast("int").alias("half"), "again", "copies"), by)
@@ -151,14 +156,15 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.transform("hashes", lambda h: (h - 2**31).cast("int")).alias("next_hashes"),
     )
     edit = F.concat(F.left("text", F.char_length("text") - F.col("half")), F.col("end"))
-    pairs = marked.join(after, by).withColumn("edited", edit)
-    by = [*by, "again"]
-    wide = pairs.select(
-        *by, "copies", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "places", "hashes",
+    pairs = marked.join(after, by).select(
+        *by, "again", "copies", F.char_length("text").cast("long").alias("n_chars"), edit.alias("edited"), F.sha2(edit, 256).alias("edited_sha256"),
+        F.col("places").alias("own_places"), F.col("hashes").alias("own_hashes"),
         F.transform("next_hashes", lambda h: h.cast("long") + 2**31).alias("next_hashes"),
     )
-    edited = fingerprints(pairs, by, "edited").select(*by, F.col("places").alias("edited_places"), F.col("hashes").alias("edited_hashes"))
-    wide = wide.join(edited, by)
+    facts = ["copies", "n_chars", "edited_sha256", "own_places", "own_hashes", "next_hashes"]
+    wide = fingerprints(pairs, [*by, "again"], "edited", facts).withColumnsRenamed(
+        {"places": "edited_places", "hashes": "edited_hashes", "own_places": "places", "own_hashes": "hashes"}
+    )
     near = {"near_edited": likeness(F.col("hashes"), F.col("edited_hashes")), "near_next": likeness(F.col("hashes"), F.col("next_hashes"))}
     out = wide.withColumns(near).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
     return out.select(
