@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by inner product, on robust-pruned directed graphs.
 
-Distinct vectors are dealt to shards of bounded size. A shard's graph grows by insertion: a greedy search over the graph so far
+Distinct vectors are dealt to shards of bounded size, each of vectors of nearly one length. A shard's graph grows by insertion: a greedy search over the graph so far
 proposes neighbours of a new vector, and pruning with a relaxed distance keeps those that no kept one stands closer to,
 so edges point in diverse directions. Queries, in blocks, run a beam search over every shard; what the beams hold is
-scored exactly. Inner product becomes distance by one more component, which brings all vectors to the length of the longest.
+scored exactly. Inner product becomes distance by one more component, which brings a shard's vectors to the length of its longest; as they are
+of nearly one length, that component stays small beside the others, whatever lengths the table holds.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from ..session import stage
 from .common import batches
 
 SHARD_ROWS = 4096
-QUERY_BLOCK = 256
+QUERY_BLOCK, AT_ONCE = 4096, 256  # queries that travel together, and that are searched at once
+LENGTHS = 8  # classes of length to a power of two
 DEGREE, BUILD_BEAM, SEARCH_BEAM, RELAX = 32, 64, 96, 1.2
 EXPAND = 4
 
@@ -115,96 +117,122 @@ def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, rel
     return graph, entry
 
 
-CLEAN_SCHEMA = pa.schema([("id", pa.int64()), ("key", pa.string()), ("size", pa.int32()), ("norm", pa.float64()), ("vector", pa.binary())])
-INDEX = "shard int, members array<array<long>>, vectors binary, graph binary, entry int"
-INDEX_SCHEMA = pa.schema([("shard", pa.int32()), ("members", pa.list_(pa.list_(pa.int64()))), ("vectors", pa.binary()), ("graph", pa.binary()), ("entry", pa.int32())])
-BLOCK_SCHEMA = pa.schema([("block", pa.int32()), ("keys", pa.list_(pa.string())), ("vectors", pa.binary())])
+CLEAN = "id long, key string, size int, length int, vector binary"
+CLEAN_SCHEMA = pa.schema([("id", pa.int64()), ("key", pa.string()), ("size", pa.int32()), ("length", pa.int32()), ("vector", pa.binary())])
+INDEX = "size int, length int, part int, members array<array<long>>, vectors binary, graph binary, entry int"
+INDEX_SCHEMA = pa.schema([
+    ("size", pa.int32()), ("length", pa.int32()), ("part", pa.int32()), ("members", pa.list_(pa.list_(pa.int64()))), ("vectors", pa.binary()),
+    ("graph", pa.binary()), ("entry", pa.int32()),
+])
+BLOCK = "size int, block int, keys array<string>, vectors binary"
+BLOCK_SCHEMA = pa.schema([("size", pa.int32()), ("block", pa.int32()), ("keys", pa.list_(pa.string())), ("vectors", pa.binary())])
 FOUND = "key string, score double, least long, members array<long>"
 FOUND_SCHEMA = pa.schema([("key", pa.string()), ("score", pa.float64()), ("least", pa.int64()), ("members", pa.list_(pa.int64()))])
 
 
+def unit_scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows divided by powers of two so that the largest component is below one and at least a half, and the exponents; no row is zero."""
+    exponents = np.frexp(np.abs(x).max(axis=1))[1]
+    return np.ldexp(x, -exponents[:, None]), exponents
+
+
 def clean(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Vectors that can be compared, as bytes of doubles with a 128-bit name."""
+    """Vectors that can be compared, as bytes of doubles with a 128-bit name and the class of their length."""
     def rows() -> Iterator[dict]:
         for part in parts:
             for i, v in zip(part.column("id").to_pylist(), part.column("vector").to_pylist()):
                 if i is None or not v or any(c is None for c in v):
                     continue
                 a = np.array(v, np.float64) + 0.0  # -0.0 is 0.0
-                norm = float(np.square(a).sum())
-                if math.isfinite(norm) and norm > 0:
-                    yield {"id": i, "key": xxhash.xxh3_128_hexdigest(a.tobytes()), "size": len(a), "norm": norm, "vector": a.tobytes()}
+                if np.isfinite(a).all() and a.any():
+                    scaled, exponents = unit_scaled(a[None, :])
+                    length = math.floor((math.log2(np.square(scaled).sum()) / 2 + int(exponents[0])) * LENGTHS)
+                    yield {"id": i, "key": xxhash.xxh3_128_hexdigest(a.tobytes()), "size": len(a), "length": length, "vector": a.tobytes()}
 
     yield from batches(rows(), CLEAN_SCHEMA)
 
 
+def lengthened(x: np.ndarray) -> np.ndarray:
+    """A shard's vectors, scaled by one power of two and brought to one length by one more component."""
+    x = np.ldexp(x, -int(np.frexp(np.abs(x).max())[1]))
+    squares = np.square(x).sum(axis=1)
+    return np.column_stack((x, np.sqrt(np.maximum(squares.max() - squares, 0)))).astype(np.float32)
+
+
+def asked(q: np.ndarray) -> np.ndarray:
+    """Queries at unit length, which changes none of their orders."""
+    q = unit_scaled(q)[0]
+    q = q / np.sqrt(np.square(q).sum(axis=1, keepdims=True))
+    return np.column_stack((q, np.zeros(len(q)))).astype(np.float32)
+
+
 def nearest(
     vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, shard_rows: int = SHARD_ROWS,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for rows where ``is_query`` holds, the ``k`` rows of the largest inner product found.
 
     A query is no candidate of its own; ties go to the smaller id; with fewer candidates, all. Null and zero vectors and those with null or non-finite
-    components take no part, nor those of another length than most vectors have (of the longer if even), nor rows with a null id. Equal
+    components take no part, nor rows with a null id. Vectors of different numbers of components are not compared. A product beyond the range of doubles scores
+    infinity. Equal
     vectors are indexed once, so groups of copies are found as a whole. Rows repeated under one id count once. Other columns are not read.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"), is_query.alias("asks"))
-    kept = rows.mapInArrow(clean, "id long, key string, size int, norm double, vector binary")
-    size = kept.groupBy("size").count().orderBy(F.desc("count"), F.desc("size")).first()
-    size = size["size"] if size else 0
-    kept = stage(kept.filter(F.col("size") == size).dropDuplicates(["id", "key"]), "vectors")
-    longest = kept.agg(F.max("norm")).first()[0] or 1.0
+    kept = stage(rows.mapInArrow(clean, CLEAN).dropDuplicates(["id", "key"]), "vectors")
 
     # A class of equal vectors: any k + 1 smallest ids are enough for every answer.
     by_id = Window.partitionBy("key").orderBy("id")
     few = kept.withColumn("n", F.row_number().over(by_id)).filter(F.col("n") <= k + 1)
-    classes = few.groupBy("key").agg(F.sort_array(F.collect_list("id")).alias("members"), F.first("vector").alias("vector"))
+    classes = few.groupBy("key", "size", "length").agg(F.sort_array(F.collect_list("id")).alias("members"), F.first("vector").alias("vector"))
     classes = stage(classes, "vector-classes")
-    n_shards = max(1, math.ceil(classes.count() / shard_rows))
-    shard = F.pmod(F.xxhash64("key"), F.lit(n_shards)).cast("int")
-
-    def lengthened(x: np.ndarray) -> np.ndarray:
-        rest = np.sqrt(np.maximum(longest - np.square(x).sum(axis=1), 0))
-        return np.column_stack((x, rest)).astype(np.float32)
+    # Shards are told by size, class of length and part; there are as many parts as the class fills.
+    parts = classes.groupBy("size", "length").agg(F.ceil(F.count(F.lit(1)) / shard_rows).cast("int").alias("parts"))
+    dealt = classes.join(stage(parts, "vector-parts"), ["size", "length"]).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    shard = ["size", "length", "part"]
 
     def build(key: tuple, table: pa.Table) -> pa.Table:
+        size, length, part = (v.as_py() for v in key)
         x = np.frombuffer(b"".join(table.column("vector").to_pylist()), np.float64).reshape(-1, size)
         graph, entry = build_graph(lengthened(x))
-        row = {"shard": key[0].as_py(), "members": table.column("members").to_pylist(), "vectors": x.tobytes(), "graph": graph.tobytes(), "entry": entry}
+        row = {"size": size, "length": length, "part": part, "members": table.column("members").to_pylist(), "vectors": x.tobytes(), "graph": graph.tobytes(), "entry": entry}
         return pa.Table.from_pylist([row], INDEX_SCHEMA)
 
-    index = stage(classes.withColumn("shard", shard).groupBy("shard").applyInArrow(build, INDEX), "vector-index")
+    index = stage(dealt.select(*shard, "members", "vector").groupBy(*shard).applyInArrow(build, INDEX), "vector-index")
 
     asking = kept.join(vectors.filter(is_query).select(F.col(id_col).cast("long").alias("id")).distinct(), "id").select("id", "key")
     asking = stage(asking, "vector-queries")
     queries = classes.join(asking.select("key").distinct(), "key", "left_semi")
-    n_blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    n_blocks = stage(queries.groupBy("size").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).cast("int").alias("blocks")), "query-blocks")
 
     def gather(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist([{"block": key[0].as_py(), "keys": table.column("key").to_pylist(), "vectors": b"".join(table.column("vector").to_pylist())}], BLOCK_SCHEMA)
+        row = {"size": key[0].as_py(), "block": key[1].as_py(), "keys": table.column("key").to_pylist(), "vectors": b"".join(table.column("vector").to_pylist())}
+        return pa.Table.from_pylist([row], BLOCK_SCHEMA)
 
-    blocks = queries.withColumn("block", F.pmod(F.xxhash64(F.lit(1), "key"), F.lit(n_blocks)).cast("int")).groupBy("block").applyInArrow(gather, "block int, keys array<string>, vectors binary")
-    # Each block of queries meets each shard.
-    pairs_of_blocks = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))))
-    shards = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+    numbered = queries.join(n_blocks, "size").withColumn("block", F.pmod(F.xxhash64(F.lit(1), "key"), F.col("blocks")).cast("int"))
+    blocks = stage(numbered.select("size", "block", "key", "vector").groupBy("size", "block").applyInArrow(gather, BLOCK), "queries")
+    # Each block of queries meets each shard of its size.
+    left = blocks.join(stage(index.select(*shard), "shard-list"), "size")
+    right = index.join(stage(blocks.select("size", "block"), "block-list"), "size")
 
     def search(block_table: pa.Table, shard_table: pa.Table) -> pa.Table:
         if not block_table.num_rows or not shard_table.num_rows:
             return FOUND_SCHEMA.empty_table()
         block, own = block_table.to_pylist()[0], shard_table.to_pylist()[0]
-        q, x = (np.frombuffer(t["vectors"], np.float64).reshape(-1, size) for t in (block, own))
-        graph = np.frombuffer(own["graph"], np.int32).reshape(len(x), -1)
-        asked = np.column_stack((q, np.zeros(len(q)))).astype(np.float32)
-        ids, _ = beam_search(graph, lengthened(x), asked, own["entry"], max(SEARCH_BEAM, 2 * k))
-        out = []
-        for name, vector, found in zip(block["keys"], q, ids):
-            found = found[found >= 0]
-            scores = (x[found] * vector).sum(axis=1)
-            least = np.array([own["members"][f][0] for f in found])
-            for at in np.lexsort((least, -scores))[: k + 1].tolist():
-                out.append({"key": name, "score": float(scores[at]), "least": int(least[at]), "members": own["members"][found[at]]})
+        q, x = (np.frombuffer(t["vectors"], np.float64).reshape(-1, own["size"]) for t in (block, own))
+        graph, long = np.frombuffer(own["graph"], np.int32).reshape(len(x), -1), lengthened(x)
+        least_ids, out = np.array([m[0] for m in own["members"]]), []
+        for begin in range(0, len(q), AT_ONCE):
+            some = q[begin : begin + AT_ONCE]
+            ids, _ = beam_search(graph, long, asked(some), own["entry"], max(SEARCH_BEAM, 2 * k))
+            for name, vector, found in zip(block["keys"][begin:], some, ids):
+                found = found[found >= 0]
+                with np.errstate(over="ignore", invalid="ignore"):
+                    scores = (x[found] * vector).sum(axis=1)
+                least = least_ids[found]
+                for at in np.lexsort((least, -scores))[: k + 1].tolist():
+                    out.append({"key": name, "score": float(scores[at]), "least": int(least[at]), "members": own["members"][found[at]]})
         return pa.Table.from_pylist(out, FOUND_SCHEMA)
 
-    found = pairs_of_blocks.groupBy("block", "shard").cogroup(shards.groupBy("block", "shard")).applyInArrow(search, FOUND)
+    found = left.groupBy("block", *shard).cogroup(right.groupBy("block", *shard)).applyInArrow(search, FOUND)
     best = found.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("score"), "least"))).filter(F.col("n") <= k + 1)
     answers = asking.withColumnRenamed("id", "query_id").join(best, "key").select("query_id", "score", F.explode("members").alias("vec_id")).filter("query_id <> vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))

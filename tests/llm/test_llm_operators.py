@@ -164,6 +164,40 @@ def test_neighbours(spark):
     assert found[100] == list(range(101, 111))
 
 
+LENGTHS = {
+    "unit": lambda rng, x: x / np.linalg.norm(x, axis=1, keepdims=True),
+    "log-normal": lambda rng, x: x / np.linalg.norm(x, axis=1, keepdims=True) * np.exp(rng.normal(size=(len(x), 1))),
+    "outlier": lambda rng, x: np.concatenate((x[:-1], x[-1:] * 1e4)),
+    "clustered": lambda rng, x: x * 0.2 + rng.normal(size=(20, x.shape[1]))[np.arange(len(x)) % 20] * rng.uniform(0.2, 3, size=(len(x), 1)),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(LENGTHS))
+def test_neighbours_of_any_length(spark, kind):
+    """Recall against brute force where lengths differ much."""
+    rng = np.random.default_rng(5)
+    x = LENGTHS[kind](rng, rng.normal(size=(1500, 32)))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = defaultdict(set)
+    for r in neighbours.nearest(df, F.col("vec_id") % 20 == 0, shard_rows=600).collect():
+        found[r.query_id].add(r.vec_id)
+    hit = 0
+    for q in range(0, 1500, 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len(set(np.argsort(-score)[:20].tolist()) & found[q])
+    assert hit / (20 * 75) >= 0.9
+
+
+def test_neighbours_of_extreme_vectors(spark):
+    rows = [(0, [1e160, 1.0]), (1, [1e-170, 1e-170]), (2, [1.0, 0.0]), (3, [-1.0, 0.0]), (4, [1.0, 2.0, 3.0]), (5, [2.0, 1.0, 0.0]), (6, [1e-310, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): r.vec_id for r in neighbours.nearest(df, F.col("vec_id") >= 0).collect()}
+    assert [got.get((0, k)) for k in range(1, 6)] == [2, 1, 6, 3, None]
+    assert [got.get((4, k)) for k in (1, 2)] == [5, None]  # vectors of three components have each other only
+    assert [got.get((2, k)) for k in range(1, 5)] == [0, 1, 6, 3]
+
+
 def test_quality(spark):
     rng = random.Random(1)
     rows = [(k, " ".join(rng.choice(["alpha", "beta", "gamma", "delta."]) + str(rng.randint(0, 99)) for _ in range(60)) if k % 3 else "SPAM!! " * 60, "x") for k in range(400)]
