@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -19,6 +19,8 @@ from ..operators.quantiles import quantiles
 from ..operators.schema import feature_columns
 from ..operators.sizes import literal_rows
 from ..session import stage
+from .boosting import BoostedTrees
+from .boosting import fit as fit_boosted
 from .claims import DAYS
 
 TARGET = "is_delayed"
@@ -190,7 +192,7 @@ def delay_probability(c: str = "probability") -> Column:
 def train_delay_models(
     ml_claim: DataFrame, size: TrainingSize | None = None, share: float = TEST_SHARE, seed: int = SEED, hashed: Sequence[str] = ()
 ) -> Trained:
-    """Random forest and boosted trees on the train split, measured on the test split.
+    """Random forest and boosted trees on the train split, measured on the test split. The boosted trees bin the columns themselves, missing ones apart.
 
     The split, the prepared rows and each scored test set are written once and read from there.
     """
@@ -208,17 +210,20 @@ def train_delay_models(
         return F.when(F.col(TARGET) == 1, weights[1][name]).otherwise(weights[0][name])
 
     ready = stage(prepared.transform(train).select(
-        TARGET, "features", weight("balanced_weight").alias("__balanced"), weight("boost_weight").alias("__boost")
+        TARGET, "features", weight("balanced_weight").alias("__balanced")
     ), "prepared")
     forest = RandomForestClassifier(
         labelCol=TARGET, weightCol="__balanced", numTrees=size.trees, maxDepth=size.tree_depth, seed=seed
     )
-    boosted = GBTClassifier(
-        labelCol=TARGET, weightCol="__boost", maxIter=size.rounds, maxDepth=size.boost_depth, stepSize=size.rate, seed=seed
-    )
+    kinds = feature_columns(train.drop(TARGET, "claim_id"))
+    numbers, texts = ([c for c, k in kinds.items() if k == kind] for kind in ("numeric", "text"))
+
+    def boosted() -> PipelineModel:
+        return PipelineModel([BoostedTrees(fit_boosted(train, TARGET, numbers, texts, size.rounds, size.boost_depth, size.rate))])
+
     models, scored, results = {}, {}, []
-    for name, estimator in (("random_forest", forest), ("boosted_trees", boosted)):
-        model = PipelineModel([*prepared.stages, estimator.fit(ready)])
+    for name, fitted in (("random_forest", lambda: PipelineModel([*prepared.stages, forest.fit(ready)])), ("boosted_trees", boosted)):
+        model = fitted()
         result = stage(model.transform(test).select("claim_id", TARGET, delay_probability().alias("delay_probability"), "prediction"), "scored")
         models[name], scored[name] = model, result
         results.append(model_metrics(result, name))

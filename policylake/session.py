@@ -95,6 +95,11 @@ def concurrently(spark: SparkSession, tasks: Mapping[str, Callable[[], T]]) -> d
     return {name: future.result() for name, future in running.items()}
 
 
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
@@ -108,8 +113,7 @@ def staging(spark: SparkSession) -> Iterator[None]:
     finally:
         _STAGED.reset(token)
         for folder in folders:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove_folder(spark, folder)
 
 
 def stage(df: DataFrame, purpose: str) -> DataFrame:
