@@ -18,11 +18,11 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def in_small_batches(apply: Stage) -> Stage:
-    """Whole texts reach Python workers 500 rows at a time, unless the session says otherwise, so that workers stay small from stage to stage."""
+    """Whole texts reach Python workers 200 rows at a time, unless the session says otherwise, so that workers stay small from stage to stage."""
     @wraps(apply)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         if not spark.sparkContext.getConf().contains(BATCH_ROWS):
-            spark.conf.set(BATCH_ROWS, "500")
+            spark.conf.set(BATCH_ROWS, "200")
         return apply(spark, docs, sf_dir)
 
     return run

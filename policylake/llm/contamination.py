@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import mixed, texts
+from .common import mixed, texts, trimmed
 
 GRAM = 3
 FILTER_BITS = 1 << 24
@@ -87,7 +87,7 @@ def contaminated(
                 pa.array([grams_of(w, gram).view(np.int64) for w in words], pa.list_(pa.int64())),
             ], names=["item_id", "words", "grams"])
 
-    tests = tests.mapInArrow(item_words, "item_id long, words array<long>, grams array<long>").filter(F.size("grams") > 0)
+    tests = tests.mapInArrow(trimmed(item_words), "item_id long, words array<long>, grams array<long>").filter(F.size("grams") > 0)
     tests = stage(tests.dropDuplicates(["item_id", "words"]), "test-items")
     seeds = tests.select("item_id", F.posexplode("grams").alias("item_place", "seed"))
 
@@ -112,7 +112,7 @@ def contaminated(
             if docs_:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)) for a in (docs_, places, found)], names=["doc_id", "place", "seed"])
 
-    held = rows.mapInArrow(hits, "doc_id long, place long, seed long").join(seeds.select("seed").distinct(), "seed", "left_semi")
+    held = rows.mapInArrow(trimmed(hits), "doc_id long, place long, seed long").join(seeds.select("seed").distinct(), "seed", "left_semi")
     held = stage(held, "seed-hits")
 
     # Where an item would begin, by document and item.
@@ -157,5 +157,5 @@ def contaminated(
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["doc_id", "item_id", "score", "end_word"])
 
-    scored = chosen.select("doc_id", "text", "wanted").mapInArrow(score, "doc_id long, item_id long, score double, end_word long")
+    scored = chosen.select("doc_id", "text", "wanted").mapInArrow(trimmed(score), "doc_id long, item_id long, score double, end_word long")
     return scored.groupBy("doc_id", "item_id").agg(F.max("score").alias("score"), F.max_by("end_word", "score").alias("end_word"))

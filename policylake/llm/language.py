@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import texts
+from .common import texts, trimmed
 
 GRAMS = 1 << 16
 FIT_ROWS = 20_000
@@ -92,7 +92,7 @@ def gram_counts(docs: DataFrame, fit_rows: int) -> dict[str, np.ndarray]:
             yield pa.RecordBatch.from_arrays([pa.array([language] * len(at), pa.string()), pa.array(at), pa.array(n[at])], names=["language", "gram", "n"])
 
     # At most languages x 2**16 rows.
-    counted = stage(fit.mapInArrow(count, "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n")), "grams")
+    counted = stage(fit.mapInArrow(trimmed(count), "language string, gram long, n long").groupBy("language", "gram").agg(F.sum("n").alias("n")), "grams")
     known = sorted(r["language"] for r in counted.select("language").distinct().collect())
     out = {language: np.zeros(GRAMS) for language in known}
     for r in counted.collect():
@@ -151,7 +151,7 @@ def identify(
             arrays = [pa.array(posterior[:, k]) for k in range(n)] + [pa.array(list(evidence), pa.list_(pa.float64())), pa.array(letters)]
             yield pa.RecordBatch.from_arrays(columns + arrays, names=["id", "declared", "host", "domain", "suffix", *ps, "evidence", "letters"])
 
-    scored = rows.mapInArrow(score, f"id {id_type}, declared string, host string, domain string, suffix string, " + "".join(f"{p} double, " for p in ps) + "evidence array<double>, letters long")
+    scored = rows.mapInArrow(trimmed(score), f"id {id_type}, declared string, host string, domain string, suffix string, " + "".join(f"{p} double, " for p in ps) + "evidence array<double>, letters long")
     scored = stage(scored, "language-scores")
     sums = [F.sum(p).alias(p) for p in ps] or [F.lit(0.0).alias("none")]
     fields = ps or ["none"]
@@ -205,5 +205,5 @@ def identify(
             )
 
     joined = scored.join(context, ["host", "domain", "suffix"])
-    out = joined.mapInArrow(fuse, f"id {id_type}, language string, probability double, text_language string, declared string, accepted boolean")
+    out = joined.mapInArrow(trimmed(fuse), f"id {id_type}, language string, probability double, text_language string, declared string, accepted boolean")
     return out.withColumnRenamed("id", id_col)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import SPACES, mixed, texts
+from .common import SPACES, mixed, texts, trimmed
 
 KEYS_A_SHARD = 1 << 20
 COPIES = 16  # of a shard at least
@@ -147,7 +147,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 schema=LINES_SCHEMA,
             )
 
-    lines = stage(rows.select("doc", "text").mapInArrow(hashed, LINES).drop("shard"), "lines")
+    lines = stage(rows.select("doc", "text").mapInArrow(trimmed(hashed), LINES).drop("shard"), "lines")
     again = lines.groupBy("hash", "print").agg(
         F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n")
     ).filter("first < last").drop("last")
@@ -180,4 +180,4 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     joined = rows.join(drops, "doc", "left").select("doc", "text", "places", "carried")
     kind = joined.schema["carried"].dataType.simpleString()
-    return joined.mapInArrow(shortened, f"doc_id long, n_lines long, n_dropped long, kept string, carried {kind}")
+    return joined.mapInArrow(trimmed(shortened), f"doc_id long, n_lines long, n_dropped long, kept string, carried {kind}")

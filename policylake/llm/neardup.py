@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import connected, mixed, texts
+from .common import connected, mixed, texts, trimmed
 
 WORDS = 5
 COORDINATES, THRESHOLD = 40, 15
@@ -79,7 +79,7 @@ def signed(docs: DataFrame, coordinates: int, words: int) -> DataFrame:
                 schema=SIGNED_SCHEMA,
             )
 
-    return docs.mapInArrow(sign, SIGNED)
+    return docs.mapInArrow(trimmed(sign), SIGNED)
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -94,7 +94,7 @@ def full_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 [part.column("doc_id"), pa.array(rows, pa.list_(pa.int64()))], schema=pa.schema([("doc_id", pa.int64()), ("shingles", pa.list_(pa.int64()))])
             )
 
-    return stage(chosen.mapInArrow(sets, "doc_id long, shingles array<long>"), "shingles")
+    return stage(chosen.mapInArrow(trimmed(sets), "doc_id long, shingles array<long>"), "shingles")
 
 
 def ends_of(pairs: DataFrame) -> DataFrame:
