@@ -849,15 +849,20 @@ def _scores_checked(scored: DataFrame, days_ok) -> DataFrame:
     return scored.select("claim_id", p.between(0, 1).alias("probability_ok"), (F.col("risk_level") == level).alias("level_ok"), days_ok.alias("days_ok"))
 
 
+def days_follow(scored: DataFrame):
+    """Whether a row's days follow from the scores: some for a late claim, none for another one, and 0 for all where no claim is late."""
+    late, days = F.col("delay_probability") > 0.5, F.col("predicted_delay_days")
+    some_late = F.coalesce(scored.agg(F.max(late).alias("late")).scalar(), F.lit(False))
+    return F.when(late, days.isNotNull()).when(some_late, days.isNull()).otherwise(F.coalesce(days == 0, F.lit(False)))
+
+
 @query
 def score_claims(spark, folder):
     """Scored claims, and whether probability, level and days obey their rules: days only above one half, none known below it unless no claim is above."""
     root, path = _stored_zones(spark, folder), scratch_folder(spark, "models")
     jobs.train(spark, root, path)
     scored = jobs.score(spark, root, path, scratch_folder(spark, "dashboard"), AS_OF)
-    late, days = F.col("delay_probability") > 0.5, F.col("predicted_delay_days")
-    some_late = F.coalesce(scored.agg(F.max(late).alias("late")).scalar(), F.lit(False))
-    return _scores_checked(scored, F.when(late, days.isNotNull()).when(some_late, days.isNull()).otherwise(F.coalesce(days == 0, F.lit(False))))
+    return _scores_checked(scored, days_follow(scored))
 
 
 @query

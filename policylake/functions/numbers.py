@@ -16,6 +16,7 @@ FALSE_WORDS = ("0", "false", "faux", "no", "non", "n", "f")
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 NOT_IN_NUMBERS = "[a-df-zA-DF-Z]"
+# Fixed value: the first number of a text.
 FIRST_NUMBER = r"[-+]?\d*\.?\d+"
 
 

@@ -21,11 +21,6 @@ def source_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def is_small(df: DataFrame, limit: int) -> bool:
-    size = source_bytes(df)
-    return size is not None and size <= limit
-
-
 def literal_rows(spark: SparkSession, rows: Sequence[Sequence], names: Sequence[str]) -> DataFrame:
     """A handful of rows as literals of the plan, without a Python worker to feed them."""
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r)]) for r in rows]

@@ -3,9 +3,11 @@ import uuid
 from datetime import date
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from policylake import session
+from policylake.checks import queries
 from policylake.plans import build, dashboard, delay_scoring, jobs, warehouse
 from policylake.plans.bounds import bounds_table, read_bounds
 from policylake.plans.claims import DAYS, clean_claims, delay_label
@@ -120,6 +122,29 @@ def test_active_claims_fall_back_to_all(spark):
         delay_scoring.checked_active_claims(some.filter("false"))
 
 
+class Fixed:
+    """A stand-in for a model: probabilities or days from a column."""
+
+    def __init__(self, **columns):
+        self.columns = columns
+
+    def transform(self, df):
+        return df.withColumns(self.columns)
+
+
+@pytest.mark.parametrize("limit, wanted", [(0.5, {"a": 12.0, "b": None}), (2.0, {"a": 0.0, "b": 0.0})])
+def test_days_follow_the_scores(spark, limit, wanted):
+    """With a late claim the others have no days; without any, all have 0. The rule that checks scores holds in both cases, and fails on wrong days."""
+    claims = spark.createDataFrame([("a", 0.9), ("b", 0.2)], "claim_id string, p double")
+    p = F.col("p") / (1.0 if limit < 1 else 4.0)
+    delay = Fixed(probability=array_to_vector(F.array(1 - p, p)))
+    scored = delay_scoring.score_claims(claims, delay, Fixed(prediction=F.lit(12.0)))
+    assert {r["claim_id"]: r["predicted_delay_days"] for r in scored.collect()} == wanted
+    assert all(r[0] for r in scored.select(queries.days_follow(scored)).collect())
+    wrong = scored.withColumn("predicted_delay_days", F.lit(7.0))
+    assert not all(r[0] for r in wrong.select(queries.days_follow(wrong)).collect())
+
+
 def test_dashboard_document(spark):
     rows = [(f"c{i}", 0.5 + i / 40, 10.0) for i in range(20)]
     df = spark.createDataFrame(rows, "claim_id string, delay_probability double, montant_indemnisation_claim double")
