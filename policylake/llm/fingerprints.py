@@ -20,7 +20,7 @@ from ..session import stage
 # Both powers of two.
 GRAM, WINDOW = 4, 8
 REACH = GRAM + WINDOW - 1
-BLOCK = 64
+BLOCK = 32
 PLACES = 128  # more than the hashes of a block
 NONE = 2**62  # more than any hash
 BLANKS = "\t\n\v\f\r"

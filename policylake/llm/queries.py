@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import tune
 from . import centroids, contamination, fingerprints, hard_negatives, language, lines, mixing, neardup, neighbours, pages, quality, recompression, suffixes
 
 
@@ -83,7 +84,7 @@ def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    out = fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+    out = fingerprints.edited_fingerprints(table(tune(spark), folder, "documents"))
     return out.select(
         "doc_id", "n_chars", "edited_sha256", fingerprints.printed(F.col("places"), F.col("hashes")).alias("fingerprint"),
         fingerprints.printed(F.col("edited_places"), F.col("edited_hashes")).alias("edited_fingerprint"), "near_edited", "near_next",
