@@ -191,3 +191,12 @@ def test_train_store_load_and_score(spark, tmp_path):
 def test_saved_limits_come_back(spark):
     limits = {"claims": {"a": [1.0, 2.5], "b": [None, 3.0]}, "ml": {"a": [0.0]}}
     assert read_bounds(bounds_table(spark, limits)) == limits
+
+
+def test_typed_copies_go_once_the_clean_tables_stand(spark, folder, monkeypatch, tmp_path):
+    """Only the four clean tables are left of what building them has staged, also inside ``staging``, which then removes these."""
+    monkeypatch.setattr(session, "scratch_folder", lambda spark, purpose: f"{tmp_path}/{purpose}")
+    with session.staging(spark):
+        build.clean_tables(raw_tables(spark, folder), as_of=queries.AS_OF, order_by=queries.ORDER, staged=True)
+        assert sorted(os.listdir(tmp_path)) == ["clean_claims", "clean_clients", "clean_policies", "clean_vehicles"]
+    assert os.listdir(tmp_path) == []
