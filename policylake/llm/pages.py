@@ -1,8 +1,8 @@
 """Main text of web pages, by wrapper induction.
 
-Pages become light DOM trees. Up to eight differing pages of a host are aligned by simple tree matching (the largest order-preserving
-matching of nodes with equal labels). Block nodes that are aligned and read the same in all of them are the host's template; slots that
-vary are content. A page's main region is its article or main element if these hold most of its text, or else its body; in it, elements that name themselves menus,
+Pages become light DOM trees. All differing pages of a host take part, dealt into groups of at least sixteen; a group's are aligned by simple
+tree matching (the largest order-preserving matching of nodes with equal labels). Block nodes that are aligned and read the same in all of a group's pages
+are its template, and those that half of a host's groups find are the host's; slots that vary are content. A page's main region is its article or main element if these hold most of its text, or else its body; in it, elements that name themselves menus,
 notices, adverts, comments and the like go, then the template's nodes, and what remains is the text, block by block.
 """
 
@@ -12,7 +12,9 @@ import html
 import re
 from collections import Counter
 from collections.abc import Iterator
+from sys import intern
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .common import texts
 
-SLOTS, LEAST_PAGES = 8, 4
+GROUP_PAGES, LEAST_PAGES = 16, 4
 BROADCAST_ROWS = 1_000_000
 CELLS = 250_000
 
@@ -54,14 +56,11 @@ SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "label")
 
     def __init__(self, tag: str, attrs: dict[str, str]) -> None:
         self.tag, self.attrs, self.children = tag, attrs, []
-
-    @property
-    def label(self) -> tuple[str, str]:
-        return self.tag, self.attrs.get("class", "")
+        self.label = intern(tag), intern(attrs.get("class", ""))
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -255,15 +254,20 @@ def leaves(node: Node) -> Node:
     return out
 
 
-def signatures(root: Node) -> dict[int, int]:
-    """A number for each subtree, the same for equal ones (labels, texts and order)."""
+def below(root: Node) -> list[Node]:
+    """All nodes of a tree of block elements, parents before their children."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
         stack += node.children
+    return order
+
+
+def signatures(root: Node) -> dict[int, int]:
+    """A number for each subtree, the same for equal ones (labels, texts and order)."""
     out: dict[int, int] = {}
-    for node in reversed(order):
+    for node in reversed(below(root)):
         own = "\0".join([str(node.label), node.attrs["#text"], *[str(out[id(c)]) for c in node.children]])
         out[id(node)] = xxhash.xxh3_64_intdigest(own)
     return out
@@ -280,10 +284,9 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
     def own(x: Node, y: Node) -> int:
         return 2 if x.attrs["#text"] == y.attrs["#text"] else 1
 
-    def weight(x: Node, y: Node) -> int:
-        if x.label != y.label:
-            return 0
-        return known[id(x), id(y)] if x.children and y.children else own(x, y)
+    def weights(x: Node, ys: list[Node]) -> list[int]:
+        label, text, inner, at = x.label, x.attrs["#text"], x.children, id(x)
+        return [0 if y.label != label else known[at, id(y)] if inner and y.children else 2 if y.attrs["#text"] == text else 1 for y in ys]
 
     def middle(xs: list[Node], ys: list[Node]) -> tuple[int, int]:
         """How many equal subtrees both lists begin with, and end with."""
@@ -299,10 +302,12 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
         row = [0] * (len(ys) + 1)
         for x in xs:
             diagonal = 0
-            for j, y in enumerate(ys):
+            for j, w in enumerate(weights(x, ys)):
                 here = row[j + 1]
-                here = max(here, diagonal + weight(x, y))
-                diagonal, row[j + 1] = row[j + 1], max(here, row[j])
+                best = diagonal + w
+                if best < here:
+                    best = here
+                diagonal, row[j + 1] = here, best if best > row[j] else row[j]
         return row
 
     def aligned(xs: list[Node], ys: list[Node]) -> list[tuple[Node, Node]]:
@@ -324,8 +329,8 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
             best = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
             for i, x in enumerate(xs):
                 row, above = best[i + 1], best[i]
-                for j, y in enumerate(ys):
-                    row[j + 1] = max(row[j], above[j + 1], above[j] + weight(x, y))
+                for j, w in enumerate(weights(x, ys)):
+                    row[j + 1] = max(row[j], above[j + 1], above[j] + w)
             i, j = len(xs), len(ys)
             while i and j:
                 if best[i][j] == best[i - 1][j]:
@@ -352,7 +357,7 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
         if needed:
             waiting += needed
             continue
-        known[id(x), id(y)] = own(x, y) + sum(weight(c, d) for c, d in same) + (totals(xs, ys)[-1] if xs and ys else 0)
+        known[id(x), id(y)] = own(x, y) + sum(weights(c, [d])[0] for c, d in same) + (totals(xs, ys)[-1] if xs and ys else 0)
         waiting.pop()
 
     found, open_ = [], [(a, b)] if a.label == b.label else []
@@ -401,17 +406,33 @@ def differing(pages: list[set[tuple[str, str]]]) -> list[int]:
     return out
 
 
+def most_usual(shapes: list[Counter]) -> int:
+    """The page that shares the most paths with all of them."""
+    place: dict[str, int] = {}
+    for own in shapes:
+        for path in own:
+            place.setdefault(path, len(place))
+    held = np.zeros((len(shapes), len(place)), np.int64)
+    for k, own in enumerate(shapes):
+        held[k, [place[p] for p in own]] = list(own.values())
+    return max(range(len(shapes)), key=lambda k: np.minimum(held, held[k]).sum())
+
+
 def induce(pages: list[str]) -> list[str]:
-    """Names of the template's nodes: aligned in at least LEAST_PAGES and half of the differing pages, and equal in all these."""
+    """Names of the template's nodes, none where too few pages differ."""
+    return induced(pages) or []
+
+
+def induced(pages: list[str]) -> list[str] | None:
+    """Names of the template's nodes: aligned in at least LEAST_PAGES and half of the differing pages, and equal in all these. None where too few pages differ."""
     regions = [region(pruned(parse(page))) for page in pages]
     owns = [set(blocks(r)) for r in regions]
     chosen = differing(owns)
     trees, seen = [leaves(regions[k]) for k in chosen], [owns[k] for k in chosen]
     if len(trees) < LEAST_PAGES:
-        return []
+        return None
     # The page that shares the most paths with the others stands for the host; pages of another layout do not matter.
-    shapes = [Counter(p for p, _ in own) for own in seen]
-    first = max(range(len(trees)), key=lambda k: sum((shapes[k] & other).total() for other in shapes))
+    first = most_usual([Counter(p for p, _ in own) for own in seen])
     met, same = Counter(), Counter()
     for k, tree in enumerate(trees):
         if k != first:
@@ -439,25 +460,40 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """``(page_id, url, text)`` for each row: the main text of the whole page, its blocks joined by ``\\n``.
 
     A null or empty page has the empty text. Pages without an address share one host that has no template, and so do hosts with under
-    LEAST_PAGES differing pages; only what elements say of themselves counts there. Pages that are copies of
-    another one sampled, apart from what stands in most of these, do not help to find a template, so copied articles are not taken for one. ``br`` ends a
-    block. Repeated rows get equal texts, null ids stay null, other columns are not read. Templates are fitted on at most SLOTS pages a host, of the least hashes.
+    LEAST_PAGES differing pages; only what elements say of themselves counts there. All pages of a host take part in its template, each once: they are dealt by
+    hash into groups of GROUP_PAGES to twice as many on average (a host of fewer is one group), every group is aligned, and what half of the groups find, of those with
+    LEAST_PAGES differing pages, is the template. In a group, pages that are copies of another one, apart from what stands in most of its pages, do not help,
+    so copied articles are not taken for a template. ``br`` ends a block. Repeated rows get equal texts, null ids stay null, other columns are not read.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col).cast("string"), F.lit("")), "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host.alias("host"))
     hashed = rows.filter("host <> '' and html is not null").withColumn("h", F.xxhash64("html"))
-    slots = hashed.groupBy("host", F.pmod(F.shiftright("h", 8), F.lit(SLOTS)).alias("slot")).agg(F.min("h").alias("h"))
-    slots = stage(slots, "host-slots")
-    many = slots.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_PAGES).select("host")
-    chosen = stage(slots.join(many, "host", "left_semi").select("host", "h"), "host-pages")
-    chosen = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
-    samples = hashed.select("host", "h", "html").join(chosen, ["host", "h"], "left_semi").dropDuplicates(["host", "h"])
+    groups = F.greatest(F.lit(1), F.floor(F.col("n") / GROUP_PAGES)).alias("groups")
+    sizes = hashed.select("host", "h").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= LEAST_PAGES).select("host", groups)
+    sizes = stage(sizes, "host-groups")
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
+    dealt = hashed.join(sizes, "host").select("host", F.pmod(F.shiftright("h", 8), F.col("groups")).alias("group"), "h", "html")
+
+    def once(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A task's pages without copies, so that a page held by many rows is sent once a task."""
+        seen: set[tuple] = set()
+        for part in parts:
+            keys = list(zip(part.column("host").to_pylist(), part.column("h").to_pylist()))
+            new = [k for k, key in enumerate(keys) if key not in seen and not seen.add(key)]
+            yield part.take(pa.array(new, pa.int64())) if len(new) < len(keys) else part
 
     def learn(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by("h")
-        return pa.table({"host": [key[0].as_py()], "template": pa.array([induce(table.column("html").to_pylist())], pa.list_(pa.string()))})
-
-    wrappers = stage(samples.groupBy("host").applyInArrow(learn, "host string, template array<string>").filter("size(template) > 0"), "wrappers")
+        found = induced(table.sort_by("h").column("html").to_pylist())
+        out = {"host": [key[0].as_py()], "votes": [int(found is not None)], "names": pa.array([found or []], pa.list_(pa.string()))}
+        return pa.table(out, pa.schema([("host", pa.string()), ("votes", pa.int32()), ("names", pa.list_(pa.string()))]))
+
+    # Keyed by host and group first: the removal of copies and the groups then need no exchange of their own.
+    single = dealt.mapInArrow(once, dealt.schema).repartition("host", "group").dropDuplicates(["host", "group", "h"])
+    found = stage(single.groupBy("host", "group").applyInArrow(learn, "host string, votes int, names array<string>").filter("votes = 1"), "group-templates")
+    voting = found.groupBy("host").agg(F.count(F.lit(1)).alias("groups"))
+    names = found.select("host", F.explode(F.array_distinct("names")).alias("name")).groupBy("host", "name").agg(F.count(F.lit(1)).alias("votes"))
+    wrappers = names.join(voting, "host").filter("2 * votes >= groups").groupBy("host").agg(F.collect_set("name").alias("template"))
+    wrappers = stage(wrappers, "wrappers")
     wrappers = F.broadcast(wrappers) if wrappers.count() <= BROADCAST_ROWS // 100 else wrappers
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
