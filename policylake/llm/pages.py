@@ -52,7 +52,6 @@ DROPPED_WORDS = frozenset(
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
-SPACE = re.compile(r"\s+")
 
 
 class Node:
@@ -201,13 +200,18 @@ def region(tree: Node) -> Node:
     return top
 
 
+def spaced(text: str) -> str:
+    """Character references read, one blank for each run of white space, none at the ends."""
+    return " ".join(html.unescape(text).split())
+
+
 def blocks(node: Node) -> list[tuple[str, str]]:
     """``(path, text)`` of each block in order; a path is the tags and classes down to it."""
     out: list[tuple[str, str]] = []
     held: list[str] = []
 
     def flush(path: str) -> None:
-        text = SPACE.sub(" ", html.unescape("".join(held))).strip()
+        text = spaced("".join(held))
         held.clear()
         if text:
             out.append((path, text))
@@ -250,7 +254,7 @@ def leaves(node: Node) -> Node:
             else:
                 stack.append((child, new))
     for n in all_:
-        n.attrs = n.attrs | {"#text": SPACE.sub(" ", html.unescape("".join(texts_[id(n)]))).strip()}
+        n.attrs = n.attrs | {"#text": spaced("".join(texts_[id(n)]))}
     return out
 
 
@@ -264,12 +268,14 @@ def below(root: Node) -> list[Node]:
     return order
 
 
-def signatures(root: Node) -> dict[int, int]:
+def signatures(*roots: Node) -> dict[int, int]:
     """A number for each subtree, the same for equal ones (labels, texts and order)."""
     out: dict[int, int] = {}
-    for node in reversed(below(root)):
-        own = "\0".join([str(node.label), node.attrs["#text"], *[str(out[id(c)]) for c in node.children]])
-        out[id(node)] = xxhash.xxh3_64_intdigest(own)
+    numbers: dict[tuple, int] = {}
+    for root in roots:
+        for node in reversed(below(root)):
+            own = node.label, node.attrs["#text"], tuple([out[id(c)] for c in node.children])
+            out[id(node)] = numbers.setdefault(own, len(numbers))
     return out
 
 
@@ -279,7 +285,7 @@ def matched(a: Node, b: Node) -> list[tuple[Node, Node]]:
     Children are aligned exactly, however many they are: equal subtrees at both ends of two lists belong together, and what lies between is halved until
     the table of a part is small. No step calls itself once a level, so trees may be as deep as pages make them.
     """
-    known, sign = {}, {**signatures(a), **signatures(b)}  # weights of pairs that have children
+    known, sign = {}, signatures(a, b)  # weights of pairs that have children
 
     def own(x: Node, y: Node) -> int:
         return 2 if x.attrs["#text"] == y.attrs["#text"] else 1
