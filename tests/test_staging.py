@@ -1,9 +1,14 @@
 """Disk that staging takes: shuffle files of finished queries are gone, and wide claims are made slice by slice."""
 
+import os
+import uuid
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from policylake import session
-from policylake.plans import build
+from policylake.plans import build, jobs
+from policylake.sources.driver_tables import raw_tables
 
 
 def claim_tables(spark, folder):
@@ -52,6 +57,15 @@ def test_shuffle_files_go_with_their_query(spark):
     assert kept[0].count() == kept[0].count() == 10000
 
 
+def test_clean_copies_go_before_the_wide_outputs_are_written(spark, folder, tmp_path, monkeypatch):
+    scratch, staged, real = tmp_path / "scratch", [], jobs.write_outputs
+    monkeypatch.setattr(session, "scratch_folder", lambda spark, purpose: f"{scratch}/{purpose}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(jobs, "write_outputs", lambda found, *a: staged.append((len(found), {f.split("-")[0] for f in os.listdir(scratch)})) or real(found, *a))
+    jobs.build(spark, raw_tables(spark, folder), str(tmp_path / "zones"), date(2024, 6, 30))
+    assert staged == [(8, {"clean_clients", "clean_policies", "clean_vehicles", "clean_claims", "claim_wide"}), (2, {"claim_wide"})]
+    assert os.listdir(scratch) == []
+
+
 def _files(blocks):
     found = blocks.getAllFiles()
     return [found.apply(k) for k in range(found.size())]
