@@ -23,7 +23,8 @@ def claim_tables(spark, folder):
     return {n: session.stage(df, n) for n, df in tables.items()}
 
 
-def test_wide_claims_in_slices(spark, folder, monkeypatch):
+def test_wide_claims_in_slices(spark, folder, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "scratch_folder", lambda spark, purpose: f"{tmp_path}/a b%20c/{purpose}-{uuid.uuid4().hex}")
     clean, slices, real = claim_tables(spark, folder), [], session.file_slices
 
     def few(staged, most=8, least_bytes=1):
